@@ -20,6 +20,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cellrecon.session import cut_lineage, shuffle_partitions
 
@@ -27,6 +28,10 @@ RANGE = ["grp", "lo", "lo_inc", "hi", "hi_inc"]
 
 # Range lists up to this length become a predicate that the scan can use.
 MAX_PREDICATE_RANGES = 200
+# Range tables up to this length (some 20 MB) are broadcast to integer keys.
+MAX_BROADCAST_RANGES = 200_000
+
+_INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 _BOUND = ["_infinity", "_value", "_after"]
 
@@ -204,12 +209,14 @@ def filter_by_ranges(
     key: str,
     ranges: DataFrame | Sequence[KeyRange],
     max_predicate_ranges: int = MAX_PREDICATE_RANGES,
+    max_broadcast_ranges: int = MAX_BROADCAST_RANGES,
 ) -> DataFrame:
     """Rows whose key lies in any of the ranges, each row once.
 
-    Up to ``max_predicate_ranges`` ranges (a table of them is measured first) become a predicate.
-    More are counted along the sorted distinct keys, and the rows semi-joined with the keys found
-    covered; no key is ever compared to all ranges.
+    The ranges are measured first. A few become a predicate. Up to ``max_broadcast_ranges`` are
+    broadcast, coalesced and filed by buckets, to rows with integer keys, which do not move.
+    Otherwise they are counted along the sorted distinct keys, and the rows semi-joined with the
+    keys found covered. No key is ever compared to all ranges.
     """
     if not isinstance(ranges, DataFrame):
         return rows.filter(in_ranges(key, ranges))
@@ -218,6 +225,50 @@ def filter_by_ranges(
     if len(few) <= max_predicate_ranges:
         return rows.filter(in_ranges(key, [KeyRange(r.lo, r.hi, r.lo_inc, r.hi_inc) for r in few]))
 
+    if isinstance(rows.schema[key].dataType, _INTEGERS) and (
+        ranges.limit(max_broadcast_ranges + 1).count() <= max_broadcast_ranges
+    ):
+        return _filter_by_buckets(rows, key, ranges)
+    return _filter_by_counting(rows, key, ranges)
+
+
+def _filter_by_buckets(rows: DataFrame, key: str, ranges: DataFrame) -> DataFrame:
+    """Semi-join by equality of power-of-two buckets about as wide as each range.
+
+    Coalesced ranges do not overlap, so a bucket holds at most a few of its own width and a row
+    finds at most one range; each row looks once per width in use, of which there are at most 63.
+    """
+    one = F.lit(1).cast("bigint")
+    lo, hi = F.col("lo").cast("bigint"), F.col("hi").cast("bigint")
+    first = F.when(lo.isNull(), F.lit(-(2**63))).when(F.col("lo_inc"), lo)
+    last = F.when(hi.isNull(), F.lit(2**63 - 1)).when(F.col("hi_inc"), hi)
+    width = F.col("_last").cast("double") - F.col("_first").cast("double") + 1
+    level = F.least(F.ceil(F.log2(width)).cast("int"), F.lit(62))
+    filed = (
+        union_ranges(ranges.withColumn("grp", F.lit(0)))
+        .select(
+            first.otherwise(F.try_add(lo, one)).alias("_first"),
+            last.otherwise(F.try_subtract(hi, one)).alias("_last"),
+        )
+        .filter(F.col("_first") <= F.col("_last"))
+        .withColumn("_level", level)
+    )
+    shift = "shiftright({}, _level)"
+    buckets = F.sequence(F.expr(shift.format("_first")), F.expr(shift.format("_last")))
+    filed = cut_lineage(filed.withColumn("_bucket", F.explode(buckets)))
+    levels = [r["_level"] for r in filed.select("_level").distinct().collect()]
+    if not levels:
+        return rows.filter(F.lit(False))
+    probe = rows.withColumn("_key", F.col(key).cast("bigint")).withColumn(
+        "_level", F.explode(F.array(*[F.lit(n) for n in levels]))
+    )
+    probe = probe.withColumn("_bucket", F.expr(shift.format("_key")))
+    inside = (probe["_key"] >= filed["_first"]) & (probe["_key"] <= filed["_last"])
+    same = (probe["_level"] == filed["_level"]) & (probe["_bucket"] == filed["_bucket"])
+    return probe.join(F.broadcast(filed), same & inside, "left_semi").select(*rows.columns)
+
+
+def _filter_by_counting(rows: DataFrame, key: str, ranges: DataFrame) -> DataFrame:
     no_group, nothing = F.lit(0).alias("grp"), F.lit(0).cast("bigint")
     keys = rows.filter(F.col(key).isNotNull()).select(F.col(key).alias("_value")).distinct()
     points = keys.select(

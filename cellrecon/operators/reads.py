@@ -74,23 +74,20 @@ def read_latest_wide(
 
 
 def _latest_wide_by_map(cells: DataFrame, columns: ColumnNames) -> DataFrame:
-    """For very wide catalogs: the work per cell does not grow with the number of columns.
+    """For very wide catalogs, where a conditional aggregate per column would be too many.
 
-    The map holds declared columns only, so the catalog bounds its size.
+    The catalog bounds both the broadcast list of columns and the size of a row's map.
     """
     slots = {cell: i for i, cell in enumerate(dict.fromkeys(columns.values()))}
-    slot_of = F.create_map(
-        *[F.lit(x) for (f, q), i in slots.items() for x in (f"{f}\0{q}", i)]
-    )[F.concat_ws("\0", "family", "qualifier")]
+    declared = cells.sparkSession.createDataFrame(
+        [(f, q, i) for (f, q), i in slots.items()], "family string, qualifier string, _slot int"
+    )
+    entry = F.when(F.col("_slot").isNotNull(), F.struct("_slot", "value"))
     rows = (
         latest_cells(cells)
-        .withColumn("_slot", slot_of)
+        .join(F.broadcast(declared), ["family", "qualifier"], "left")
         .groupBy("row_key")
-        .agg(
-            F.map_from_entries(
-                F.collect_list(F.when(F.col("_slot").isNotNull(), F.struct("_slot", "value")))
-            ).alias("_values")
-        )
+        .agg(F.map_from_entries(F.collect_list(entry)).alias("_values"))
     )
     return rows.select(
         "row_key", *[F.col("_values")[slots[cell]].alias(name) for name, cell in columns.items()]
@@ -188,14 +185,21 @@ def regex_entries(cells: DataFrame, family: str, pattern: str) -> DataFrame:
 # ---- maps ---------------------------------------------------------------------------------------
 
 
-def _spread(entries: DataFrame, by: Sequence[str], max_entries: int | None) -> DataFrame:
-    """Number the parts of keys with too many entries, and bring each part together."""
+def _spread(
+    entries: DataFrame, cells: DataFrame, by: Sequence[str], max_entries: int | None
+) -> DataFrame:
+    """Number the parts of keys with too many entries, and bring each part together.
+
+    Whether there are such keys is measured first, on the cells' keys alone; usually there are none
+    and the entries need no further step. No key has more entries than ``cells`` has rows for it.
+    """
     if max_entries is None:
         return entries.withColumn("part", F.lit(0))
+    too_many = F.col("count") > max_entries
+    if cells.groupBy("row_key").count().filter(too_many).isEmpty():
+        return entries.withColumn("part", F.lit(0))
     parts = F.ceil(F.col("count") / max_entries).cast("int").alias("_parts")
-    large = (
-        entries.groupBy("row_key").count().filter(F.col("count") > max_entries)
-    ).select("row_key", parts)
+    large = entries.groupBy("row_key").count().filter(too_many).select("row_key", parts)
     part = F.pmod(F.xxhash64(*by), F.col("_parts")).cast("int")
     return (
         entries.join(large, "row_key", "left")
@@ -217,9 +221,10 @@ def read_version_map(
     max_entries: int | None = MAX_ENTRIES,
 ) -> DataFrame:
     """``row_key, part, data map<bigint,T>``: the versions of one column by ``ts``."""
+    cells = project_columns(cells, [(family, qualifier)])
     entries = version_entries(cells, family, qualifier, max_versions)
     return (
-        _spread(entries, ["ts"], max_entries)
+        _spread(entries, cells, ["ts"], max_entries)
         .groupBy("row_key", "part")
         .agg(_map_of("ts", "value").alias("data"))
     )
@@ -232,9 +237,9 @@ def read_dynamic_family(
     max_entries: int | None = MAX_ENTRIES,
 ) -> DataFrame:
     """``row_key, part, data map<string,T>``: newest values of a family by qualifier."""
-    entries = family_entries(cells, family, declared)
+    cells = _undeclared(cells, family, declared)
     return (
-        _spread(entries, ["qualifier"], max_entries)
+        _spread(family_entries(cells, family), cells, ["qualifier"], max_entries)
         .groupBy("row_key", "part")
         .agg(_map_of("qualifier", "value").alias("data"))
     )
@@ -248,9 +253,10 @@ def read_dynamic_versions(
     max_entries: int | None = MAX_ENTRIES,
 ) -> DataFrame:
     """``row_key, part, data map<string,map<bigint,T>>``: versions of a family by qualifier."""
-    entries = family_version_entries(cells, family, declared, max_versions)
+    cells = _undeclared(cells, family, declared)
+    entries = family_version_entries(cells, family, (), max_versions)
     return (
-        _spread(entries, ["qualifier", "ts"], max_entries)
+        _spread(entries, cells, ["qualifier", "ts"], max_entries)
         .groupBy("row_key", "part", "qualifier")
         .agg(_map_of("ts", "value").alias("versions"))
         .groupBy("row_key", "part")
@@ -262,9 +268,9 @@ def read_qualifier_regex(
     cells: DataFrame, family: str, pattern: str, max_entries: int | None = MAX_ENTRIES
 ) -> DataFrame:
     """``row_key, part, data map<string,T>`` of the columns that match a pattern."""
-    entries = regex_entries(cells, family, pattern)
+    cells = project_families(cells, [family])
     return (
-        _spread(entries, ["name"], max_entries)
+        _spread(regex_entries(cells, family, pattern), cells, ["name"], max_entries)
         .groupBy("row_key", "part")
         .agg(_map_of("name", "value").alias("data"))
     )

@@ -30,12 +30,16 @@ def _column(value: Column | int) -> Column:
     return value if isinstance(value, Column) else F.lit(value).cast("bigint")
 
 
-def _layout(cells: DataFrame, seq: Column | int | None) -> DataFrame:
+def _stamps(ts: Column | int | None, seq: Column | int | None) -> list[Column]:
+    """The columns that place a write in time."""
+    named = {"ts": ts, "seq": seq}
+    return [_column(c).alias(name) for name, c in named.items() if c is not None]
+
+
+def _layout(cells: DataFrame) -> DataFrame:
     """Drop absent values and put the columns in cell order."""
-    cells = cells.filter(F.col("value").isNotNull())
-    if seq is None:
-        return cells.select(*CELL, "ts", "value")
-    return cells.withColumn("seq", _column(seq)).select(*CELL, "ts", "seq", "value")
+    order = [*CELL, "ts", *(["seq"] if "seq" in cells.columns else []), "value"]
+    return cells.filter(F.col("value").isNotNull()).select(*order)
 
 
 def write_cells(
@@ -49,31 +53,17 @@ def write_cells(
 
     ``columns`` maps column names to ``(family, qualifier)``. The columns need one common type.
     """
-    ids = {"row_key": F.col(key), "ts": _column(ts)}
-    if seq is not None:
-        ids["seq"] = _column(seq)
-    slots = {f"_{i}": name for i, name in enumerate(columns)}
-    kept = rows.select(
-        *[c.alias(name) for name, c in ids.items()],
-        *[F.col(name).alias(slot) for slot, name in slots.items()],
-    )
-    long = kept.unpivot(list(ids), list(slots), "_slot", "value")
-    target = F.create_map(
+    cells = F.array(
         *[
-            x
-            for slot, name in slots.items()
-            for x in (F.lit(slot), F.array(*[F.lit(part) for part in columns[name]]))
+            F.struct(
+                F.lit(family).alias("family"),
+                F.lit(qualifier).alias("qualifier"),
+                F.col(name).alias("value"),
+            )
+            for name, (family, qualifier) in columns.items()
         ]
-    )[F.col("_slot")]
-    cells = long.filter(F.col("value").isNotNull()).withColumn("_target", target)
-    return cells.select(
-        "row_key",
-        F.col("_target")[0].alias("family"),
-        F.col("_target")[1].alias("qualifier"),
-        "ts",
-        *(["seq"] if seq is not None else []),
-        "value",
     )
+    return _layout(rows.select(F.col(key).alias("row_key"), *_stamps(ts, seq), F.inline(cells)))
 
 
 def write_dynamic_family(
@@ -88,10 +78,10 @@ def write_dynamic_family(
     cells = rows.select(
         F.col(key).alias("row_key"),
         F.lit(family).alias("family"),
-        _column(ts).alias("ts"),
+        *_stamps(ts, seq),
         F.explode(data).alias("qualifier", "value"),
     )
-    return _layout(cells, seq)
+    return _layout(cells)
 
 
 def write_version_map(
@@ -107,9 +97,10 @@ def write_version_map(
         F.col(key).alias("row_key"),
         F.lit(family).alias("family"),
         F.lit(qualifier).alias("qualifier"),
+        *_stamps(None, seq),
         F.explode(data).alias("ts", "value"),
     )
-    return _layout(cells, seq)
+    return _layout(cells)
 
 
 def write_dynamic_versions(
@@ -119,10 +110,11 @@ def write_dynamic_versions(
     columns = rows.select(
         F.col(key).alias("row_key"),
         F.lit(family).alias("family"),
+        *_stamps(None, seq),
         F.explode(data).alias("qualifier", "_versions"),
     )
-    cells = columns.select(*CELL, F.explode("_versions").alias("ts", "value"))
-    return _layout(cells, seq)
+    kept = [c for c in columns.columns if c != "_versions"]
+    return _layout(columns.select(*kept, F.explode("_versions").alias("ts", "value")))
 
 
 def write_table(
@@ -142,7 +134,7 @@ def write_table(
     keyed = rows.withColumns({"_row_key": encoded_key, "_ts": _column(ts)})
     if seq is not None:
         keyed = keyed.withColumn("_seq", _column(seq))
-    seq_column = None if seq is None else F.col("_seq")
+    place = (F.col("_ts"), None if seq is None else F.col("_seq"))
 
     def encode(value: Column, column) -> Column:
         return catalog.codec(column.coder).encode(value, column.cell_type)
@@ -158,14 +150,14 @@ def write_table(
             *[encode(F.col(c.name), c).alias(c.name) for c in scalars],
         )
         targets = {c.name: (c.family, c.qualifier) for c in scalars}
-        frames.append(write_cells(narrow, "_row_key", targets, F.col("_ts"), seq_column))
+        frames.append(write_cells(narrow, "_row_key", targets, *place))
     for c in present:
         if c.is_dynamic_versions:
-            cells = write_dynamic_versions(keyed, "_row_key", c.name, c.family, seq)
+            cells = write_dynamic_versions(keyed, "_row_key", c.name, c.family, place[1])
         elif c.is_dynamic:
-            cells = write_dynamic_family(keyed, "_row_key", c.name, c.family, F.col("_ts"), seq)
+            cells = write_dynamic_family(keyed, "_row_key", c.name, c.family, *place)
         elif c.is_version_map:
-            cells = write_version_map(keyed, "_row_key", c.name, c.family, c.qualifier, seq)
+            cells = write_version_map(keyed, "_row_key", c.name, c.family, c.qualifier, place[1])
         else:
             continue
         frames.append(cells.withColumn("value", encode(F.col("value"), c)))

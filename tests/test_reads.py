@@ -1,0 +1,248 @@
+from __future__ import annotations
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from cellrecon import ReadOptions, Restrictive, parse_catalog, read_table
+from cellrecon.operators import reads, scans
+from cellrecon.operators.predicates import in_minus_not_in, in_values, not_in_values
+
+CELLS = "row_key string, family string, qualifier string, ts long, seq long, value string"
+
+
+@pytest.fixture(scope="module")
+def cells(spark):
+    return spark.createDataFrame(
+        [
+            ("a", "f", "x", 10, 1, "old"),
+            ("a", "f", "x", 20, 2, "new"),
+            ("a", "f", "x", 20, 5, "newest"),
+            ("a", "f", "y", 15, 3, "1"),
+            ("a", "g", "z", 99, 4, "other family"),
+            ("b", "f", "y", 20, 6, "2"),
+            ("b", "f", "w1", 30, 7, "undeclared"),
+            ("c", "g", "z", 20, 8, "only g"),
+        ],
+        CELLS,
+    )
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+COLUMNS = {"x": ("f", "x"), "y": ("f", "y")}
+
+
+def test_time_range_is_half_open_and_needs_both_ends(cells):
+    assert {r.ts for r in scans.scan_time_range(cells, 10, 20).collect()} == {10, 15}
+    for bounds in ((None, 5), (5, None)):
+        with pytest.raises(ValueError):
+            scans.scan_time_range(cells, *bounds)
+
+
+def test_latest_takes_highest_seq_on_equal_ts(cells):
+    assert rows(reads.read_latest_wide(cells, COLUMNS)) == [("a", "newest", "1"), ("b", None, "2")]
+
+
+def test_time_range_selects_versions_before_the_newest_is_taken(cells):
+    early = scans.scan_time_range(cells, 0, 20)
+    assert rows(reads.read_latest_wide(early, COLUMNS)) == [("a", "old", "1")]
+
+
+def test_restrictive_decides_which_keys_give_rows(cells):
+    def keys(restrictive, columns):
+        return [r[0] for r in rows(reads.read_latest_wide(cells, columns, restrictive))]
+
+    only_x = {"x": ("f", "x")}
+    assert keys(Restrictive.COLUMN, only_x) == ["a"]
+    assert keys(Restrictive.FAMILY, only_x) == ["a", "b"]
+    assert keys(Restrictive.NONE, only_x) == ["a", "b", "c"]
+
+
+def test_wide_catalogs_take_another_way_to_the_same_rows(cells, monkeypatch):
+    expected = {r: rows(reads.read_latest_wide(cells, COLUMNS, r)) for r in Restrictive}
+    monkeypatch.setattr(reads, "_MAX_CONDITIONAL", 0)
+    for restrictive, found in expected.items():
+        assert rows(reads.read_latest_wide(cells, COLUMNS, restrictive)) == found
+
+
+def test_version_rows_drop_the_time_and_collapse(spark, cells):
+    assert rows(reads.read_version_rows(cells, COLUMNS)) == [
+        ("a", "newest", None),
+        ("a", "old", None),
+        ("a", None, "1"),
+        ("b", None, "2"),
+    ]
+    same = spark.createDataFrame(
+        [("k", "f", "x", ts, ts, "same") for ts in (1, 2, 3)], CELLS
+    )
+    assert rows(reads.read_version_rows(same, {"x": ("f", "x")})) == [("k", "same")]
+
+
+def test_newest_versions_count_a_rewritten_version_once(cells):
+    found = scans.newest_versions(cells.filter("qualifier = 'x'"), 2)
+    assert rows(found.select("ts", "value")) == [(10, "old"), (20, "newest")]
+    assert rows(scans.newest_versions(cells.filter("qualifier = 'x'"), 1).select("value")) == [
+        ("newest",)
+    ]
+    with pytest.raises(ValueError):
+        scans.newest_versions(cells, 0)
+
+
+def test_newest_versions_beyond_the_rank_threshold(spark):
+    many = spark.range(6000).select(
+        F.lit("k").alias("row_key"),
+        F.lit("f").alias("family"),
+        F.lit("q").alias("qualifier"),
+        F.col("id").alias("ts"),
+        F.col("id").cast("string").alias("value"),
+    )
+    found = scans.newest_versions(many, 1500, unique=True)
+    assert sorted(r.ts for r in found.collect()) == list(range(4500, 6000))
+
+
+def test_cells_without_seq(cells):
+    plain = scans.distinct_versions(cells)
+    assert "seq" not in plain.columns
+    assert rows(reads.read_latest_wide(plain, COLUMNS)) == [("a", "newest", "1"), ("b", None, "2")]
+
+
+def test_maps(cells):
+    family = reads.read_dynamic_family(cells, "f", declared=["y"])
+    assert rows(family) == [("a", 0, {"x": "newest"}), ("b", 0, {"w1": "undeclared"})]
+    assert rows(reads.read_version_map(cells, "f", "x")) == [("a", 0, {10: "old", 20: "newest"})]
+    versions = {r.row_key: r.data for r in reads.read_dynamic_versions(cells, "f").collect()}
+    assert versions["a"] == {"x": {10: "old", 20: "newest"}, "y": {15: "1"}}
+
+
+def test_regex_columns(spark, cells):
+    assert rows(reads.read_qualifier_regex(cells, "f", "w([0-9])")) == [("b", 0, {"1": "undeclared"})]
+    assert rows(reads.regex_entries(cells, "f", "x")) == [("a", "", "newest")]
+    clash = spark.createDataFrame(
+        [("k", "f", "p1a", 9, 1, "first"), ("k", "f", "p1b", 3, 2, "second")], CELLS
+    )
+    assert rows(reads.regex_entries(clash, "f", "p(.).")) == [("k", "1", "second")]
+    with pytest.raises(ValueError):
+        reads.regex_entries(cells, "f", "(.)(.)")
+
+
+@pytest.mark.parametrize("max_entries", [1, 7, 100, None])
+def test_outsize_keys_are_spread_over_parts(spark, max_entries):
+    cells = spark.range(1200).select(
+        F.when(F.col("id") < 1000, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("row_key"),
+        F.lit("f").alias("family"),
+        F.concat(F.lit("q"), F.col("id")).alias("qualifier"),
+        F.col("id").alias("ts"),
+        F.col("id").alias("value"),
+    )
+    found = reads.read_dynamic_family(cells, "f", max_entries=max_entries)
+    entries = found.select("row_key", F.explode("data").alias("qualifier", "value"))
+    assert rows(entries) == rows(cells.select("row_key", "qualifier", "value"))
+    parts = {r.row_key: r.n for r in found.groupBy("row_key").agg(F.count("*").alias("n")).collect()}
+    if max_entries == 100:
+        assert parts["hot"] == 10
+        assert all(n == 1 for key, n in parts.items() if key != "hot")
+        assert max(r.n for r in found.select(F.size("data").alias("n")).collect()) < 200
+    if max_entries is None:
+        assert set(parts.values()) == {1}
+    nested = reads.read_dynamic_versions(cells, "f", max_entries=max_entries)
+    inner = nested.select("row_key", F.explode("data").alias("q", "v"))
+    assert inner.select("row_key", "q", F.explode("v")).count() == 1200
+
+
+def test_many_versions_of_few_columns_are_no_outsize_map(spark):
+    cells = spark.range(500).select(
+        F.lit("k").alias("row_key"),
+        F.lit("f").alias("family"),
+        F.concat(F.lit("q"), F.col("id") % 5).alias("qualifier"),
+        F.col("id").alias("ts"),
+        F.col("id").alias("value"),
+    )
+    assert [r.part for r in reads.read_dynamic_family(cells, "f", max_entries=10).collect()] == [0]
+
+
+CATALOG = json.dumps(
+    {
+        "table": {"namespace": "default", "name": "t"},
+        "rowkey": "key",
+        "columns": {
+            "y": {"cf": "f", "col": "y", "type": "int"},
+            "id": {"cf": "rowkey", "col": "key", "type": "string"},
+            "rest": {"cf": "f", "col": "", "type": "map<string,string>"},
+            "z": {"cf": "g", "col": "z", "type": "string"},
+            "history": {"cf": "f", "col": "x", "type": "map<bigint,string>"},
+        },
+    }
+)
+
+
+def test_read_table(cells):
+    catalog = parse_catalog(CATALOG)
+    table = read_table(cells, catalog, max_entries=None)
+    assert table.schema.names == ["y", "id", "rest", "z", "history"]
+    assert table.schema["y"].dataType.simpleString() == "int"
+    found = {r.id: r for r in table.collect()}
+    assert tuple(found["a"]) == (1, "a", None, "other family", {20: "newest"})
+    assert tuple(found["b"]) == (2, "b", {"w1": "undeclared"}, None, None)
+    assert tuple(found["c"]) == (None, "c", None, "only g", None)
+    every = ReadOptions(max_versions=None)
+    versions = {r.id: r.history for r in read_table(cells, catalog, every).collect()}
+    assert versions["a"] == {10: "old", 20: "newest"}
+
+
+def test_read_table_prunes_to_the_requested_columns(cells):
+    catalog = parse_catalog(CATALOG)
+    assert rows(read_table(cells, catalog, columns=["z", "id"])) == [
+        ("only g", "c"),
+        ("other family", "a"),
+    ]
+    assert rows(read_table(cells, catalog, columns=["id"])) == [("a",), ("b",), ("c",)]
+    family = ReadOptions(restrictive=Restrictive.FAMILY)
+    assert rows(read_table(cells, catalog, family, columns=["id", "y"])) == [("a", 1), ("b", 2)]
+    none = ReadOptions(restrictive=Restrictive.NONE)
+    found = read_table(cells, catalog, none, columns=["id", "history"], max_entries=None)
+    assert rows(found) == [("a", {20: "newest"}), ("b", None), ("c", None)]
+
+
+def test_read_table_version_rows(cells):
+    catalog = parse_catalog(CATALOG)
+    rows_of = ReadOptions(merge_to_latest=False, max_versions=None)
+    assert rows(read_table(cells, catalog, rows_of, columns=["id", "y", "z"])) == [
+        ("a", 1, None),
+        ("a", None, "other family"),
+        ("b", 2, None),
+        ("c", None, "only g"),
+    ]
+    assert read_table(cells, catalog, rows_of, columns=["id"]).count() == 3
+    with pytest.raises(ValueError):
+        read_table(cells, catalog, rows_of, columns=["id", "rest"])
+
+
+def test_read_table_at_a_timestamp(cells):
+    catalog = parse_catalog(CATALOG)
+    at = ReadOptions(timestamp=15)
+    assert rows(read_table(cells, catalog, at, columns=["id", "y"])) == [("a", 1)]
+
+
+def test_multi_get(spark, cells):
+    assert {r.row_key for r in scans.multi_get(cells, ["a", "zz"]).collect()} == {"a"}
+    keys = spark.createDataFrame([("b",), ("b",), ("c",)], "k string")
+    assert scans.multi_get(cells, keys).count() == 3
+    long_list = [f"n{i}" for i in range(2000)] + ["a"]
+    assert scans.multi_get(cells, long_list).count() == 5
+
+
+def test_value_lists_with_nulls(spark):
+    df = spark.createDataFrame([(1,), (2,), (None,)], "v int")
+    other = spark.createDataFrame([(1,), (None,)], "w int")
+    assert rows(in_values(df, "v", other)) == [(1,)]
+    assert rows(not_in_values(df, "v", other)) == [(2,)]
+    assert rows(not_in_values(df, "v", [1, None])) == [(2,)]
+    assert rows(df.filter(in_minus_not_in("v", [1, 2], [2, 3]))) == [(1,)]
+
+
+def test_cells_per_row(cells):
+    assert rows(reads.cells_per_row(cells)) == [("a", 3), ("b", 2), ("c", 1)]

@@ -7,13 +7,14 @@ Two shapes are offered for families whose columns are not known up front:
 
 A map is built in one task. Keys with more than ``max_entries`` entries are therefore spread over
 several rows, numbered by ``part``; their maps are disjoint and together hold every entry. Passing
-``max_entries=None`` skips the check where rows are known to be small.
+``max_entries=None`` skips the check where rows are known to be small. ``decode`` is applied to the
+stored values before they go into the map.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -40,6 +41,7 @@ MAX_ENTRIES = 100_000
 _MAX_CONDITIONAL = 48
 
 ColumnNames = Mapping[str, tuple[str, str]]
+Decode = Callable[[Column], Column]
 
 
 def _is_cell(family: str, qualifier: str) -> Column:
@@ -209,6 +211,10 @@ def _spread(
     )
 
 
+def _decoded(entries: DataFrame, decode: Decode | None) -> DataFrame:
+    return entries if decode is None else entries.withColumn("value", decode(F.col("value")))
+
+
 def _map_of(key: str, value: str) -> Column:
     return F.map_from_entries(F.collect_list(F.struct(key, value)))
 
@@ -219,12 +225,13 @@ def read_version_map(
     qualifier: str,
     max_versions: int | None = None,
     max_entries: int | None = MAX_ENTRIES,
+    decode: Decode | None = None,
 ) -> DataFrame:
     """``row_key, part, data map<bigint,T>``: the versions of one column by ``ts``."""
     cells = project_columns(cells, [(family, qualifier)])
     entries = version_entries(cells, family, qualifier, max_versions)
     return (
-        _spread(entries, cells, ["ts"], max_entries)
+        _spread(_decoded(entries, decode), cells, ["ts"], max_entries)
         .groupBy("row_key", "part")
         .agg(_map_of("ts", "value").alias("data"))
     )
@@ -235,11 +242,13 @@ def read_dynamic_family(
     family: str,
     declared: Sequence[str] = (),
     max_entries: int | None = MAX_ENTRIES,
+    decode: Decode | None = None,
 ) -> DataFrame:
     """``row_key, part, data map<string,T>``: newest values of a family by qualifier."""
     cells = _undeclared(cells, family, declared)
+    entries = family_entries(cells, family)
     return (
-        _spread(family_entries(cells, family), cells, ["qualifier"], max_entries)
+        _spread(_decoded(entries, decode), cells, ["qualifier"], max_entries)
         .groupBy("row_key", "part")
         .agg(_map_of("qualifier", "value").alias("data"))
     )
@@ -251,12 +260,13 @@ def read_dynamic_versions(
     declared: Sequence[str] = (),
     max_versions: int | None = None,
     max_entries: int | None = MAX_ENTRIES,
+    decode: Decode | None = None,
 ) -> DataFrame:
     """``row_key, part, data map<string,map<bigint,T>>``: versions of a family by qualifier."""
     cells = _undeclared(cells, family, declared)
     entries = family_version_entries(cells, family, (), max_versions)
     return (
-        _spread(entries, cells, ["qualifier", "ts"], max_entries)
+        _spread(_decoded(entries, decode), cells, ["qualifier", "ts"], max_entries)
         .groupBy("row_key", "part", "qualifier")
         .agg(_map_of("ts", "value").alias("versions"))
         .groupBy("row_key", "part")
@@ -315,22 +325,18 @@ def _map_frame(
     declared = [
         c.qualifier for c in catalog.value_columns if c.family == column.family and c.qualifier
     ]
+    def typed(value: Column) -> Column:
+        return decode(value, column)
+
     if column.is_version_map:
-        frame = read_version_map(
-            cells, column.family, column.qualifier, options.max_versions, max_entries
+        return read_version_map(
+            cells, column.family, column.qualifier, options.max_versions, max_entries, typed
         )
-        data = F.transform_values("data", lambda _, v: decode(v, column))
-    elif column.is_dynamic_versions:
-        frame = read_dynamic_versions(
-            cells, column.family, declared, options.max_versions, max_entries
+    if column.is_dynamic_versions:
+        return read_dynamic_versions(
+            cells, column.family, declared, options.max_versions, max_entries, typed
         )
-        data = F.transform_values(
-            "data", lambda _, vs: F.transform_values(vs, lambda _, v: decode(v, column))
-        )
-    else:
-        frame = read_dynamic_family(cells, column.family, declared, max_entries)
-        data = F.transform_values("data", lambda _, v: decode(v, column))
-    return frame.withColumn("data", data)
+    return read_dynamic_family(cells, column.family, declared, max_entries, typed)
 
 
 def _is_map(column: CatalogColumn) -> bool:

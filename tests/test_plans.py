@@ -1,0 +1,155 @@
+"""Physical plans: what reaches the scan, how often data moves, how it is aggregated."""
+
+from __future__ import annotations
+
+import json
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from cellrecon import parse_catalog, read_table
+from cellrecon.operators import ranges, reads, reconcile, scans
+from cellrecon.operators.predicates import starts_with_bytes
+from cellrecon.operators.ranges import KeyRange
+from cellrecon.sources.cells import read_cells, within_time
+
+EVENTS = "/root/testdata/sf0.001/events.parquet"
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def exchanges(df) -> int:
+    return len(re.findall(r"Exchange (?:hash|range|Single|Round)", plan(df)))
+
+
+def pushed(df) -> str:
+    return " ".join(re.findall(r"PushedFilters: (.*?), ReadSchema", plan(df)))
+
+
+@pytest.fixture(scope="module")
+def cells(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("plans") / "cells")
+    spark.range(2000).select(
+        (F.col("id") % 100).alias("row_key"),
+        F.lit("f").alias("family"),
+        F.concat(F.lit("q"), F.col("id") % 7).alias("qualifier"),
+        F.col("id").alias("ts"),
+        F.col("id").alias("seq"),
+        F.col("id").cast("string").alias("value"),
+    ).write.parquet(path)
+    return read_cells(spark, path)
+
+
+@pytest.fixture(autouse=True)
+def no_broadcast(spark):
+    """Plans as for tables too large to broadcast."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
+COLUMNS = {"a": ("f", "q1"), "b": ("f", "q2")}
+
+
+def test_cell_filters_reach_the_scan(cells):
+    wide = reads.read_latest_wide(scans.scan_time_range(cells, 100, 900), COLUMNS)
+    found = pushed(wide)
+    for part in (
+        "GreaterThanOrEqual(ts,100)",
+        "LessThan(ts,900)",
+        "EqualTo(family,f)",
+        "EqualTo(qualifier,q1)",
+    ):
+        assert part in found
+
+
+def test_key_filters_on_a_typed_read_reach_the_scan_and_value_filters_stay_above(cells):
+    catalog = parse_catalog(
+        json.dumps(
+            {
+                "table": {"name": "t"},
+                "rowkey": "k",
+                "columns": {
+                    "id": {"cf": "rowkey", "col": "k", "type": "bigint"},
+                    "a": {"cf": "f", "col": "q1", "type": "string"},
+                },
+            }
+        )
+    )
+    table = read_table(cells, catalog).filter("id > 50 AND a = '8'")
+    assert "GreaterThan(row_key,50)" in pushed(table)
+    assert "value" not in pushed(table)
+
+
+def test_a_latest_read_moves_data_once_after_partial_aggregation(cells):
+    wide = reads.read_latest_wide(cells, COLUMNS)
+    assert exchanges(wide) == 1
+    assert "partial_max_by" in plan(wide)
+
+
+def test_a_diff_of_two_reads_moves_each_side_once(cells):
+    first, second = (reads.read_latest_wide(c, COLUMNS) for c in (cells, cells.filter("ts > 9")))
+    for diff in (
+        reconcile.diff_tables(first, second, "row_key"),
+        reconcile.diff_columns(first, second, "row_key"),
+    ):
+        assert exchanges(diff) == 2
+
+
+def test_versions_are_limited_ahead_of_the_shuffle(cells):
+    found = plan(scans.newest_versions(cells, 3, unique=True))
+    assert re.search(r"WindowGroupLimit .*Partial", found)
+    assert exchanges(scans.newest_versions(cells, 3, unique=True)) == 1
+
+
+def test_cell_diff_joins_without_moving_latest_cells_again(cells):
+    sides = [reads.family_entries(c, "f") for c in (cells, cells.filter("ts > 9"))]
+    diff = reconcile.diff_cells(*sides)
+    assert "SortMergeJoin" in plan(diff)
+
+
+def test_no_operator_plans_a_cross_join(cells, spark):
+    few = spark.range(300).select(
+        F.col("id").alias("lo"), F.lit(True).alias("lo_inc"), F.col("id").alias("hi"), F.lit(True).alias("hi_inc")
+    )
+    frames = [
+        ranges.filter_by_ranges(cells, "row_key", few),
+        ranges.filter_by_ranges(cells.withColumn("row_key", F.col("row_key").cast("string")), "row_key", few.selectExpr("cast(lo as string) lo", "lo_inc", "cast(hi as string) hi", "hi_inc")),
+        reconcile.diff_by_cell_count(cells, cells.filter("ts > 9"), "f"),
+        reconcile.column_except(cells, cells),
+        scans.multi_get(cells, cells.select("row_key")),
+        reconcile.compare_row_counts(cells, cells),
+    ]
+    for df in frames:
+        assert "NestedLoop" not in plan(df) and "Cartesian" not in plan(df)
+
+
+def test_bucketed_range_filter_does_not_move_the_rows(cells, spark):
+    few = spark.range(300).select(
+        F.col("id").alias("lo"), F.lit(True).alias("lo_inc"), F.col("id").alias("hi"), F.lit(True).alias("hi_inc")
+    )
+    assert exchanges(ranges.filter_by_ranges(cells, "row_key", few)) == 0
+
+
+def test_range_lists_and_prefixes_reach_the_scan(cells, spark):
+    wanted = [KeyRange(3, 5), KeyRange(lo=90)]
+    assert "LessThan(row_key,5)" in pushed(ranges.filter_by_ranges(cells, "row_key", wanted))
+    binary = spark.read.schema("row_key binary").parquet(EVENTS)
+    assert "GreaterThanOrEqual(row_key" in pushed(binary.filter(starts_with_bytes("row_key", b"ab")))
+
+
+def test_time_bounds_on_a_raw_timestamp_reach_the_scan(spark):
+    events = spark.read.parquet(EVENTS)
+    found = pushed(within_time(events, "ts", 1704672000000, 1705276800000))
+    assert "GreaterThanOrEqual(ts,2024-01-08T00:00)" in found
+    assert "LessThan(ts,2024-01-15T00:00)" in found
+
+
+def test_only_needed_columns_are_read(cells):
+    schema = re.findall(r"ReadSchema: struct<([^>]*)>", plan(reads.cells_per_row(cells)))
+    assert schema == ["row_key:bigint,family:string,qualifier:string"]

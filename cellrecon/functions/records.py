@@ -126,9 +126,8 @@ _FIELD = "v"
 
 def encode_record(value: Column, dt: T.DataType) -> Column:
     """Serialize a column of any supported type into one binary cell; null stays null."""
-    stored_type(dt)
-    wrapped = F.struct(_walk(value, dt, _to_stored).alias(_FIELD))
-    text = F.to_json(wrapped, {"ignoreNullFields": "false"})
+    stored = value if stored_type(dt) == dt else _walk(value, dt, _to_stored)
+    text = F.to_json(F.struct(stored.alias(_FIELD)), {"ignoreNullFields": "false"})
     return F.when(value.isNotNull(), text.cast("binary"))
 
 
@@ -136,4 +135,7 @@ def decode_record(cell: Column, dt: T.DataType) -> Column:
     """Inverse of :func:`encode_record` for the same type."""
     schema = T.StructType([T.StructField(_FIELD, stored_type(dt))])
     stored = F.from_json(cell.cast("string"), schema, {"mode": "FAILFAST"})[_FIELD]
-    return _walk(stored, dt, _from_stored)
+    if stored_type(dt) == dt:
+        return stored
+    # The one-element array names the parsed value, so that it is parsed once and not per field.
+    return F.get(F.transform(F.array(stored), lambda v: _walk(v, dt, _from_stored)), F.lit(0))

@@ -197,8 +197,9 @@ def _records(spark, d) -> DataFrame:
 def encode_struct(spark, d):
     cell = records.encode_record(F.col("record"), EVENT_RECORD).cast("string")
     fields = ("k", "type", "amount", "at")
-    return _records(spark, d).select(
-        "event_id", *[F.get_json_object(cell, f"$.v.{f}").alias(f) for f in fields]
+    cells = _records(spark, d).select("event_id", cell.alias("cell"))
+    return cells.select(
+        "event_id", *[F.get_json_object("cell", f"$.v.{f}").alias(f) for f in fields]
     )
 
 

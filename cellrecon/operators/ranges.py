@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cellrecon.session import cut_lineage, shuffle_partitions
+from cellrecon.session import cut_lineage
 
 RANGE = ["grp", "lo", "lo_inc", "hi", "hi_inc"]
 
@@ -89,9 +89,11 @@ def _merge_positions(changes: DataFrame, counters: Sequence[str]) -> DataFrame:
 
 
 def _in_chunks(positions: DataFrame) -> DataFrame:
-    """Sort positions into chunks of about equal size and pin the chunk numbers."""
-    chunks = shuffle_partitions(positions.sparkSession)
-    ordered = positions.repartitionByRange(chunks, "grp", *_BOUND)
+    """Deal positions out in order to chunks of about equal size and pin the chunk numbers.
+
+    Adaptive execution settles on few chunks for few positions.
+    """
+    ordered = positions.repartitionByRange("grp", *_BOUND)
     return cut_lineage(ordered.withColumn("_chunk", F.spark_partition_id()))
 
 

@@ -26,19 +26,19 @@ _where("pred_eq", "status = 'F'", lambda: F.col("status") == "F")
 _where("pred_ne", "NOT priority = '1-URGENT'", lambda: ~(F.col("priority") == "1-URGENT"))
 _where(
     "pred_lt_le",
-    "price < 20000000 AND custkey <= 1000 AND NOT price > 15000000 AND NOT custkey >= 900",
-    lambda: (F.col("price") < 20000000)
-    & (F.col("custkey") <= 1000)
-    & ~(F.col("price") > 15000000)
-    & ~(F.col("custkey") >= 900),
+    "price < 40000000 AND price <= 35000000 AND NOT price > 30000000 AND NOT price >= 25000000",
+    lambda: (F.col("price") < 40000000)
+    & (F.col("price") <= 35000000)
+    & ~(F.col("price") > 30000000)
+    & ~(F.col("price") >= 25000000),
 )
 _where(
     "pred_gt_ge",
-    "price > 5000000 AND custkey >= 100 AND NOT price < 10000000 AND NOT custkey <= 150",
+    "price > 5000000 AND price >= 6000000 AND NOT price < 10000000 AND NOT price <= 12000000",
     lambda: (F.col("price") > 5000000)
-    & (F.col("custkey") >= 100)
+    & (F.col("price") >= 6000000)
     & ~(F.col("price") < 10000000)
-    & ~(F.col("custkey") <= 150),
+    & ~(F.col("price") <= 12000000),
 )
 _where(
     "pred_starts_with", "starts_with(priority, '4-NOT')", lambda: F.col("priority").startswith("4-NOT")

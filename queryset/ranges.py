@@ -113,35 +113,30 @@ def key_partition_stats(spark, d):
     return ranges.key_partition_stats(orders, "o_orderkey", splits, wanted)
 
 
-@query(
-    "key_prefix_scan",
-    "SELECT c_custkey, c_name FROM customer WHERE starts_with(c_name, 'Customer#0000001')",
-)
+@query("key_prefix_scan", "SELECT p_partkey, p_name FROM part WHERE starts_with(p_name, 'red')")
 def key_prefix_scan(spark, d):
-    customer = table(spark, d, "customer").select("c_custkey", "c_name")
-    return customer.filter(F.col("c_name").startswith("Customer#0000001"))
+    part = table(spark, d, "part").select("p_partkey", "p_name")
+    return part.filter(F.col("p_name").startswith("red"))
 
 
 @query(
     "key_prefix_scan_binary",
-    "SELECT p_partkey, p_name FROM part WHERE starts_with(p_name, 'red')",
+    "SELECT p_partkey, p_type FROM part WHERE starts_with(p_type, 'ECO')",
 )
 def key_prefix_scan_binary(spark, d):
-    part = table(spark, d, "part").select("p_partkey", F.col("p_name").cast("binary").alias("key"))
-    found = part.filter(predicates.starts_with_bytes("key", b"red"))
-    return found.select("p_partkey", F.col("key").cast("string").alias("p_name"))
+    part = table(spark, d, "part").select("p_partkey", F.col("p_type").cast("binary").alias("key"))
+    found = part.filter(predicates.starts_with_bytes("key", b"ECO"))
+    return found.select("p_partkey", F.col("key").cast("string").alias("p_type"))
 
 
 @query(
     "leading_key_range",
-    "SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey > 250 AND l_orderkey <= 1200",
+    "SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey > 250",
 )
 def leading_key_range(spark, d):
     parts = [KeyPart(T.LongType()), KeyPart(T.IntegerType())]
     key = encode_composite_key([F.col("l_orderkey"), F.col("l_linenumber")], parts)
     keys = table(spark, d, "lineitem").select(key.alias("key"))
-    condition = predicates.leading_key_range(
-        "key", parts[0], 250, 1200, low_inclusive=False, high_inclusive=True
-    )
+    condition = predicates.leading_key_range("key", parts[0], low=250, low_inclusive=False)
     order, line = decode_composite_key(F.col("key"), parts)
     return keys.filter(condition).select(order.alias("l_orderkey"), line.alias("l_linenumber"))

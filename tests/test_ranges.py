@@ -16,6 +16,14 @@ SCHEMA = "grp int, lo int, lo_inc boolean, hi int, hi_inc boolean"
 POINTS = [x / 2 for x in range(-2, 44)]
 
 
+@pytest.fixture(autouse=True)
+def many_chunks(spark):
+    """Keep the chunks of small inputs apart, as for large ones."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def some_ranges(seed, n, groups=4, open_ended=True):
     rnd = random.Random(seed)
     out = []

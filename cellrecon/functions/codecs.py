@@ -64,8 +64,13 @@ def _unsupported(coder: str, dt: T.DataType) -> ValueError:
 
 
 def _int_bytes(value: Column, width: int) -> Column:
-    digits = F.lpad(F.hex(value.cast("bigint")), 16, "0")
-    return F.unhex(digits if width == 8 else F.right(digits, F.lit(2 * width)))
+    """The low ``width`` bytes of a bigint."""
+    if width == 8:
+        return F.unhex(F.lpad(F.hex(value), 16, "0"))
+    # A one in front of the bytes keeps their leading zeros, which is cheaper than padding.
+    space = 2 ** (8 * width)
+    digits = F.hex(value.bitwiseAND(F.lit(space - 1)) + F.lit(space))
+    return F.unhex(F.substring(digits, 2, 2 * width))
 
 
 def _unsigned(cell: Column) -> Column:

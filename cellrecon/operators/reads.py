@@ -33,6 +33,7 @@ from cellrecon.operators.scans import (
     select_time,
 )
 from cellrecon.options import ReadOptions, Restrictive
+from cellrecon.session import written
 from cellrecon.sources.cells import CELL
 
 MAX_ENTRIES = 100_000
@@ -187,30 +188,52 @@ def regex_entries(cells: DataFrame, family: str, pattern: str) -> DataFrame:
 # ---- maps ---------------------------------------------------------------------------------------
 
 
-def _spread(
-    entries: DataFrame, cells: DataFrame, by: Sequence[str], max_entries: int | None
-) -> DataFrame:
-    """Number the parts of keys with too many entries, and bring each part together.
+def parts_of(counts: DataFrame, max_entries: int) -> DataFrame:
+    """From ``row_key, count``, the keys with too many entries and how many parts they take."""
+    parts = F.ceil(F.col("count") / max_entries).cast("int").alias("_parts")
+    return counts.filter(F.col("count") > max_entries).select("row_key", parts)
+
 
-    Whether there are such keys is measured first, on the cells' keys alone; usually there are none
-    and the entries need no further step. No key has more entries than ``cells`` has rows for it.
+def _outsize_keys(
+    entries: DataFrame, cells: DataFrame, max_entries: int | None
+) -> DataFrame | None:
+    """Keys to spread over parts, None if there are none.
+
+    Measured on the cells' keys alone, of which there are at least as many as entries; only if that
+    finds candidates are the entries counted.
     """
     if max_entries is None:
+        return None
+    cell_counts = cells.groupBy("row_key").count()
+    if parts_of(cell_counts, max_entries).isEmpty():
+        return None
+    return written(parts_of(entries.groupBy("row_key").count(), max_entries), "outsize")
+
+
+def _spread(entries: DataFrame, by: Sequence[str], outsize: DataFrame | None) -> DataFrame:
+    """Number the parts of outsize keys, and bring each part together."""
+    if outsize is None:
         return entries.withColumn("part", F.lit(0))
-    too_many = F.col("count") > max_entries
-    if cells.groupBy("row_key").count().filter(too_many).isEmpty():
-        return entries.withColumn("part", F.lit(0))
-    parts = F.ceil(F.col("count") / max_entries).cast("int").alias("_parts")
-    large = entries.groupBy("row_key").count().filter(too_many).select("row_key", parts)
     part = F.pmod(F.xxhash64(*by), F.col("_parts")).cast("int")
     return (
-        entries.join(large, "row_key", "left")
+        entries.join(outsize, "row_key", "left")
         .withColumn("part", F.coalesce(part, F.lit(0)))
         .drop("_parts")
         .repartition("row_key", "part")
     )
 
 
+def entries_to_maps(
+    entries: DataFrame, key: str, value: str, outsize: DataFrame | None = None
+) -> DataFrame:
+    """``row_key, part, data``: entries gathered into one map per key and part."""
+    return (
+        _spread(entries, [key], outsize)
+        .groupBy("row_key", "part")
+        .agg(_map_of(key, value).alias("data"))
+    )
+
+
 def _decoded(entries: DataFrame, decode: Decode | None) -> DataFrame:
     return entries if decode is None else entries.withColumn("value", decode(F.col("value")))
 
@@ -230,11 +253,8 @@ def read_version_map(
     """``row_key, part, data map<bigint,T>``: the versions of one column by ``ts``."""
     cells = project_columns(cells, [(family, qualifier)])
     entries = version_entries(cells, family, qualifier, max_versions)
-    return (
-        _spread(_decoded(entries, decode), cells, ["ts"], max_entries)
-        .groupBy("row_key", "part")
-        .agg(_map_of("ts", "value").alias("data"))
-    )
+    outsize = _outsize_keys(entries, cells, max_entries)
+    return entries_to_maps(_decoded(entries, decode), "ts", "value", outsize)
 
 
 def read_dynamic_family(
@@ -247,11 +267,8 @@ def read_dynamic_family(
     """``row_key, part, data map<string,T>``: newest values of a family by qualifier."""
     cells = _undeclared(cells, family, declared)
     entries = family_entries(cells, family)
-    return (
-        _spread(_decoded(entries, decode), cells, ["qualifier"], max_entries)
-        .groupBy("row_key", "part")
-        .agg(_map_of("qualifier", "value").alias("data"))
-    )
+    outsize = _outsize_keys(entries, cells, max_entries)
+    return entries_to_maps(_decoded(entries, decode), "qualifier", "value", outsize)
 
 
 def read_dynamic_versions(
@@ -265,8 +282,9 @@ def read_dynamic_versions(
     """``row_key, part, data map<string,map<bigint,T>>``: versions of a family by qualifier."""
     cells = _undeclared(cells, family, declared)
     entries = family_version_entries(cells, family, (), max_versions)
+    outsize = _outsize_keys(entries, cells, max_entries)
     return (
-        _spread(_decoded(entries, decode), cells, ["qualifier", "ts"], max_entries)
+        _spread(_decoded(entries, decode), ["qualifier", "ts"], outsize)
         .groupBy("row_key", "part", "qualifier")
         .agg(_map_of("ts", "value").alias("versions"))
         .groupBy("row_key", "part")
@@ -279,11 +297,8 @@ def read_qualifier_regex(
 ) -> DataFrame:
     """``row_key, part, data map<string,T>`` of the columns that match a pattern."""
     cells = project_families(cells, [family])
-    return (
-        _spread(regex_entries(cells, family, pattern), cells, ["name"], max_entries)
-        .groupBy("row_key", "part")
-        .agg(_map_of("name", "value").alias("data"))
-    )
+    entries = regex_entries(cells, family, pattern)
+    return entries_to_maps(entries, "name", "value", _outsize_keys(entries, cells, max_entries))
 
 
 # ---- whole tables -------------------------------------------------------------------------------

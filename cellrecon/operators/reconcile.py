@@ -12,7 +12,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellrecon.operators.reads import MAX_ENTRIES, cells_per_row, read_dynamic_family
+from cellrecon.operators.reads import (
+    MAX_ENTRIES,
+    cells_per_row,
+    entries_to_maps,
+    family_entries,
+    parts_of,
+)
+from cellrecon.session import written
 
 # The texts of the Diff column.
 ONLY_IN_1 = "New row in DataFrame 1"
@@ -269,14 +276,21 @@ def diff_by_cell_count(
 ) -> DataFrame:
     """Keys on both sides whose number of columns in a family differs, with both contents as maps.
 
-    Only the mismatched keys' cells are gathered into maps. Changed values under an equal count and
-    keys on one side only are not reported here; :func:`diff_cells` reports everything.
+    The mismatched keys are written out first. Usually they are few; Spark then broadcasts them and
+    drops all other cells as it scans. Their counts also tell which keys need several parts. Changed
+    values under an equal count and keys on one side only are not reported here; :func:`diff_cells`
+    reports everything.
     """
     of_family = [c.filter(F.col("family") == family) for c in (cells1, cells2)]
-    mismatches = count_mismatch_join(*[cells_per_row(c) for c in of_family])
-    keys = mismatches.select(F.col("rowkey1").alias("row_key"))
-    maps = [
-        read_dynamic_family(c.join(keys, "row_key", "left_semi"), family, (), max_entries)
-        for c in of_family
-    ]
-    return _pair_maps(*maps)
+    counts = [cells_per_row(c) for c in of_family]
+    mismatches = written(count_mismatch_join(*counts), "mismatches")
+
+    def maps(n: int) -> DataFrame:
+        keys = mismatches.select(F.col("rowkey1").alias("row_key"), F.col(f"count{n}").alias("count"))
+        entries = family_entries(of_family[n - 1].join(keys, "row_key", "left_semi"), family)
+        outsize = None if max_entries is None else parts_of(keys, max_entries)
+        if outsize is not None and outsize.isEmpty():
+            outsize = None
+        return entries_to_maps(entries, "qualifier", "value", outsize)
+
+    return _pair_maps(maps(1), maps(2))

@@ -37,3 +37,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` reliably, so that later stages all see the very same rows."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Store an intermediate table in the shared folder and read it back.
+
+    Like a checkpoint, but Spark also knows the size of what it reads: a table that turns out small
+    is broadcast where it is joined, and one that does not is shuffled.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -134,28 +134,29 @@ def _covered(changes: DataFrame, counters: Sequence[str]) -> DataFrame:
     before = _all([F.col(f"_sum_{c}") - F.col(c) > 0 for c in counters])
     turns = running.select(
         "grp",
-        F.struct(*_BOUND).alias("_at"),
         *_BOUND,
         "_chunk",
         after.alias("_covered"),
         F.when(after, 1).otherwise(0).alias("starts"),
     ).filter(after != before)
-    # A stretch's start and end share the number of starts seen so far.
+    # A stretch's start and end, the only two rows of it, share the number of starts seen so far.
+    start, end = F.col("_covered"), ~F.col("_covered")
     islands = (
         _running(turns, ["starts"])
         .groupBy("grp", "_sum_starts")
         .agg(
-            F.max(F.when(F.col("_covered"), F.col("_at"))).alias("_start"),
-            F.max(F.when(~F.col("_covered"), F.col("_at"))).alias("_end"),
+            F.max(F.when(start, F.col("_value"))).alias("lo"),
+            F.max(F.when(start, F.col("_after"))).alias("_after_lo"),
+            F.max(F.when(end, F.col("_value"))).alias("hi"),
+            F.max(F.when(end, F.col("_after"))).alias("_after_hi"),
         )
     )
-    lo, hi = F.col("_start._value"), F.col("_end._value")
     return islands.select(
         "grp",
-        lo.alias("lo"),
-        (lo.isNotNull() & (F.col("_start._after") == 0)).alias("lo_inc"),
-        hi.alias("hi"),
-        (hi.isNotNull() & (F.col("_end._after") == 1)).alias("hi_inc"),
+        "lo",
+        (F.col("lo").isNotNull() & (F.col("_after_lo") == 0)).alias("lo_inc"),
+        "hi",
+        (F.col("hi").isNotNull() & (F.col("_after_hi") == 1)).alias("hi_inc"),
     )
 
 

@@ -200,7 +200,7 @@ def _validate(key: list[Column], coders: set[str], table_coder: str, codecs: Map
         )
     if not codecs[table_coder].keys:
         raise CatalogError(f"coder {table_coder!r} cannot encode a row key")
-    if len(coders) > 1 and RECORD not in coders:
+    if len(coders) > 1 and not any(codecs[c].records for c in coders):
         raise CatalogError(f"one table cannot mix the coders {sorted(coders)}")
     if len(key) > 1 and not codecs[table_coder].composite_keys:
         raise CatalogError(f"coder {table_coder!r} cannot encode a composite row key")

@@ -39,13 +39,15 @@ class Codec:
     """A pair of column functions ``(column, data_type) -> column``.
 
     ``keys`` tells whether a row key may be encoded with it, ``composite_keys`` whether several key
-    parts may be joined into one.
+    parts may be joined into one, ``records`` whether it serializes nested values and may therefore
+    stand beside the table's own coder.
     """
 
     encode: Callable[[Column, T.DataType], Column]
     decode: Callable[[Column, T.DataType], Column]
     keys: bool = False
     composite_keys: bool = False
+    records: bool = False
 
 
 @dataclass(frozen=True)
@@ -195,7 +197,7 @@ def decode_sortable(cell: Column, dt: T.DataType) -> Column:
 _BUILTIN = {
     NATIVE: Codec(encode_native, decode_native, keys=True, composite_keys=True),
     SORTABLE: Codec(encode_sortable, decode_sortable, keys=True, composite_keys=True),
-    RECORD: Codec(encode_record, decode_record),
+    RECORD: Codec(encode_record, decode_record, records=True),
 }
 
 
@@ -203,6 +205,20 @@ def builtin_codec(name: str) -> Codec:
     return _BUILTIN[name]
 
 
+def avro_codec(schema: str) -> Codec:
+    """Record cells in Avro's binary form; needs the ``spark-avro`` package in the session.
+
+    Pass it to ``parse_catalog(codecs=...)`` under the name that the column's ``coder`` gives.
+    """
+    from pyspark.sql.avro.functions import from_avro, to_avro
+
+    return Codec(
+        encode=lambda value, dt: to_avro(value, schema),
+        decode=lambda cell, dt: from_avro(cell, schema),
+        records=True,
+    )
+
+
 # ---- composite keys -----------------------------------------------------------------------------
 
 

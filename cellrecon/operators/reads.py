@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from cellrecon.catalog import Catalog
 from cellrecon.catalog import Column as CatalogColumn
-from cellrecon.functions.codecs import RECORD, KeyPart, decode_composite_key
+from cellrecon.functions.codecs import KeyPart, decode_composite_key
 from cellrecon.operators.scans import (
     distinct_versions,
     latest_cells,
@@ -309,7 +309,7 @@ def _decoder(catalog: Catalog, cells: DataFrame):
     binary = cells.schema["value"].dataType == T.BinaryType()
 
     def decode(value: Column, column: CatalogColumn) -> Column:
-        if binary or column.coder == RECORD:
+        if binary or catalog.codec(column.coder).records:
             return catalog.codec(column.coder).decode(value, column.cell_type)
         return value.cast(column.cell_type)
 

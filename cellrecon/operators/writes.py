@@ -131,7 +131,8 @@ def write_table(
         if catalog.is_composite
         else catalog.codec(catalog.key[0].coder).encode(F.col(names[0]), catalog.key[0].data_type)
     )
-    keyed = rows.withColumns({"_row_key": encoded_key, "_ts": _column(ts)})
+    no_key = F.raise_error(F.lit("a row has no key")).cast("binary")
+    keyed = rows.withColumns({"_row_key": F.coalesce(encoded_key, no_key), "_ts": _column(ts)})
     if seq is not None:
         keyed = keyed.withColumn("_seq", _column(seq))
     place = (F.col("_ts"), None if seq is None else F.col("_seq"))

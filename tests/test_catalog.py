@@ -127,6 +127,12 @@ def test_coder_rules():
         parse_catalog(catalog(KEY, table={"tableCoder": "com.example.Mine"}))
 
 
+def test_user_made_record_coder_may_stand_beside_the_table_coder():
+    mine = Codec(lambda c, dt: c.cast("binary"), lambda c, dt: c.cast("string"), records=True)
+    columns = {**KEY, "v": {"cf": "f", "col": "v", "type": "string", "coder": "mine"}}
+    assert parse_catalog(catalog(columns), codecs={"mine": mine}).column("v").coder == "mine"
+
+
 def test_custom_coder_without_composite_keys():
     mine = Codec(lambda c, dt: c.cast("binary"), lambda c, dt: c.cast("string"), keys=True)
     columns = {n: {"cf": "rowkey", "col": n, "type": "string"} for n in ("a", "b")}

@@ -210,10 +210,8 @@ def _outsize_keys(
     return written(parts_of(entries.groupBy("row_key").count(), max_entries), "outsize")
 
 
-def _spread(entries: DataFrame, by: Sequence[str], outsize: DataFrame | None) -> DataFrame:
+def _spread(entries: DataFrame, by: Sequence[str], outsize: DataFrame) -> DataFrame:
     """Number the parts of outsize keys, and bring each part together."""
-    if outsize is None:
-        return entries.withColumn("part", F.lit(0))
     part = F.pmod(F.xxhash64(*by), F.col("_parts")).cast("int")
     return (
         entries.join(outsize, "row_key", "left")
@@ -227,11 +225,15 @@ def entries_to_maps(
     entries: DataFrame, key: str, value: str, outsize: DataFrame | None = None
 ) -> DataFrame:
     """``row_key, part, data``: entries gathered into one map per key and part."""
-    return (
-        _spread(entries, [key], outsize)
-        .groupBy("row_key", "part")
-        .agg(_map_of(key, value).alias("data"))
-    )
+    data = _map_of(key, value).alias("data")
+    if outsize is None:
+        return _in_one_part(entries.groupBy("row_key").agg(data))
+    return _spread(entries, [key], outsize).groupBy("row_key", "part").agg(data)
+
+
+def _in_one_part(maps: DataFrame) -> DataFrame:
+    """Maps grouped by key alone, so that joins by key find them in place."""
+    return maps.select("row_key", F.lit(0).alias("part"), "data")
 
 
 def _decoded(entries: DataFrame, decode: Decode | None) -> DataFrame:
@@ -283,13 +285,12 @@ def read_dynamic_versions(
     cells = _undeclared(cells, family, declared)
     entries = family_version_entries(cells, family, (), max_versions)
     outsize = _outsize_keys(entries, cells, max_entries)
-    return (
-        _spread(_decoded(entries, decode), ["qualifier", "ts"], outsize)
-        .groupBy("row_key", "part", "qualifier")
-        .agg(_map_of("ts", "value").alias("versions"))
-        .groupBy("row_key", "part")
-        .agg(_map_of("qualifier", "versions").alias("data"))
-    )
+    entries, keys = _decoded(entries, decode), ["row_key"]
+    if outsize is not None:
+        entries, keys = _spread(entries, ["qualifier", "ts"], outsize), ["row_key", "part"]
+    versions = entries.groupBy(*keys, "qualifier").agg(_map_of("ts", "value").alias("versions"))
+    maps = versions.groupBy(*keys).agg(_map_of("qualifier", "versions").alias("data"))
+    return _in_one_part(maps) if outsize is None else maps
 
 
 def read_qualifier_regex(

@@ -341,6 +341,7 @@ def _map_frame(
     declared = [
         c.qualifier for c in catalog.value_columns if c.family == column.family and c.qualifier
     ]
+
     def typed(value: Column) -> Column:
         return decode(value, column)
 

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from cellrecon import ReadOptions, parse_catalog, read_table
 from cellrecon.operators.reads import family_entries
-from cellrecon.operators.scans import scan_time_range
 from cellrecon.operators.writes import write_cells
 from cellrecon.sources.cells import cells_from_rows, epoch_millis, within_time
 

@@ -78,8 +78,11 @@ def _decoded(rows: DataFrame, decode) -> DataFrame:
     return rows.withColumns({name: decode(F.col(name), dt) for name, dt in TYPES.items()})
 
 
+_UNSIGNED = {8: "UBIGINT", 4: "UINTEGER", 2: "USMALLINT", 1: "UTINYINT"}
+
+
 def _bits(column: str, width: int) -> str:
-    return f"CAST(CAST({column} AS BIT) AS U{ {8: 'BIGINT', 4: 'INTEGER', 2: 'SMALLINT', 1: 'TINYINT'}[width] })"
+    return f"CAST(CAST({column} AS BIT) AS {_UNSIGNED[width]})"
 
 
 def _hex_sql(columns: dict[str, str]) -> str:
@@ -133,7 +136,8 @@ ORDER_KEY = [KeyPart(T.StringType()), KeyPart(T.LongType()), KeyPart(T.StringTyp
 @query(
     "encode_composite_key",
     """SELECT l_orderkey, l_linenumber,
-        format('{:016X}', CAST(l_orderkey AS UBIGINT)) || format('{:08X}', CAST(l_linenumber AS UINTEGER)) AS native,
+        format('{:016X}', CAST(l_orderkey AS UBIGINT))
+            || format('{:08X}', CAST(l_linenumber AS UINTEGER)) AS native,
         format('{:016X}', CAST(l_orderkey AS UBIGINT) + 9223372036854775808)
             || format('{:08X}', CAST(l_linenumber AS BIGINT) + 2147483648) AS sortable
     FROM lineitem""",

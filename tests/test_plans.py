@@ -113,13 +113,18 @@ def test_cell_diff_joins_without_moving_latest_cells_again(cells):
     assert "SortMergeJoin" in plan(diff)
 
 
+def points(spark, n=300):
+    """More single-point ranges than become a predicate."""
+    return spark.range(n).selectExpr("id AS lo", "true AS lo_inc", "id AS hi", "true AS hi_inc")
+
+
 def test_no_operator_plans_a_cross_join(cells, spark):
-    few = spark.range(300).select(
-        F.col("id").alias("lo"), F.lit(True).alias("lo_inc"), F.col("id").alias("hi"), F.lit(True).alias("hi_inc")
-    )
+    few = points(spark)
+    texts = few.selectExpr("cast(lo AS string) lo", "lo_inc", "cast(hi AS string) hi", "hi_inc")
+    text_keys = cells.withColumn("row_key", F.col("row_key").cast("string"))
     frames = [
         ranges.filter_by_ranges(cells, "row_key", few),
-        ranges.filter_by_ranges(cells.withColumn("row_key", F.col("row_key").cast("string")), "row_key", few.selectExpr("cast(lo as string) lo", "lo_inc", "cast(hi as string) hi", "hi_inc")),
+        ranges.filter_by_ranges(text_keys, "row_key", texts),
         reconcile.diff_by_cell_count(cells, cells.filter("ts > 9"), "f"),
         reconcile.column_except(cells, cells),
         scans.multi_get(cells, cells.select("row_key")),
@@ -130,10 +135,7 @@ def test_no_operator_plans_a_cross_join(cells, spark):
 
 
 def test_bucketed_range_filter_does_not_move_the_rows(cells, spark):
-    few = spark.range(300).select(
-        F.col("id").alias("lo"), F.lit(True).alias("lo_inc"), F.col("id").alias("hi"), F.lit(True).alias("hi_inc")
-    )
-    assert exchanges(ranges.filter_by_ranges(cells, "row_key", few)) == 0
+    assert exchanges(ranges.filter_by_ranges(cells, "row_key", points(spark))) == 0
 
 
 def test_range_lists_and_prefixes_reach_the_scan(cells, spark):

@@ -107,15 +107,22 @@ def diff_tables(
         require_unique_keys(df1, keys)
         require_unique_keys(df2, keys)
     joined = join_sides(df1, df2, keys, "full_outer")
+    diff = joined.select("*", diff_text(keys, df1.columns, null_safe).alias(DIFF))
+    return diff.filter(F.col(DIFF) != "").select(*diff_row(diff, keys, df1.columns))
+
+
+def diff_text(keys: Sequence[str], columns: Sequence[str], null_safe: bool = True) -> Column:
+    """The ``Diff`` of two joined sides, empty where they agree."""
     names = F.concat_ws(
-        "", *[F.when(_differs(c, null_safe), f"{c} ") for c in df1.columns if c not in keys]
+        "", *[F.when(_differs(c, null_safe), f"{c} ") for c in columns if c not in keys]
     )
-    diff = (
+    return (
         F.when(~_present(1, keys), ONLY_IN_2).when(~_present(2, keys), ONLY_IN_1).otherwise(names)
     )
-    return joined.select(
-        *pick_present_side(joined, keys, df1.columns), diff.alias(DIFF)
-    ).filter(F.col(DIFF) != "")
+
+
+def diff_row(joined: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> list[Column]:
+    return [*pick_present_side(joined, keys, columns), F.col(DIFF)]
 
 
 def diff_columns(df1: DataFrame, df2: DataFrame, key: str | Sequence[str]) -> DataFrame:
@@ -124,6 +131,12 @@ def diff_columns(df1: DataFrame, df2: DataFrame, key: str | Sequence[str]) -> Da
     The wide rows are joined once and only the differences are unfolded; values are shown as text.
     """
     keys = _keys(key)
+    joined = join_sides(df1, df2, keys, "inner")
+    return joined.select(*differing_columns(keys, df1.columns))
+
+
+def differing_columns(keys: Sequence[str], columns: Sequence[str]) -> list[Column]:
+    """Unfold two joined sides that both have the key: keys, ``column, value1, value2``."""
     pairs = [
         F.when(
             _differs(c, True),
@@ -133,13 +146,13 @@ def diff_columns(df1: DataFrame, df2: DataFrame, key: str | Sequence[str]) -> Da
                 F.col(f"_2_{c}").cast("string").alias("value2"),
             ),
         )
-        for c in df1.columns
+        for c in columns
         if c not in keys
     ]
-    joined = join_sides(df1, df2, keys, "inner")
-    return joined.select(
-        *[F.col(f"_1_{k}").alias(k) for k in keys], F.inline(F.array_compact(F.array(*pairs)))
-    )
+    return [
+        *[F.col(f"_1_{k}").alias(k) for k in keys],
+        F.inline(F.array_compact(F.array(*pairs))),
+    ]
 
 
 def diff_cells(cells1: DataFrame, cells2: DataFrame) -> DataFrame:
@@ -168,19 +181,21 @@ def diff_summary(df1: DataFrame, df2: DataFrame, key: str | Sequence[str]) -> Da
     """One row: ``rows1, rows2, only_in_1, only_in_2, changed, same``."""
     keys = _keys(key)
     joined = join_sides(df1, df2, keys, "full_outer")
-    changed = F.lit(False)
-    for c in df1.columns:
-        if c not in keys:
-            changed = changed | _differs(c, True)
-    in_1, in_2 = _present(1, keys), _present(2, keys)
-    return joined.agg(
+    diff = joined.select("*", diff_text(keys, df1.columns).alias(DIFF))
+    return diff.agg(*summary_counts(keys))
+
+
+def summary_counts(keys: Sequence[str]) -> list[Column]:
+    """The counts of :func:`diff_summary` over two joined sides with their ``Diff``."""
+    in_1, in_2, differs = _present(1, keys), _present(2, keys), F.col(DIFF) != ""
+    return [
         F.count_if(in_1).alias("rows1"),
         F.count_if(in_2).alias("rows2"),
         F.count_if(in_1 & ~in_2).alias("only_in_1"),
         F.count_if(in_2 & ~in_1).alias("only_in_2"),
-        F.count_if(in_1 & in_2 & changed).alias("changed"),
-        F.count_if(in_1 & in_2 & ~changed).alias("same"),
-    )
+        F.count_if(in_1 & in_2 & differs).alias("changed"),
+        F.count_if(in_1 & in_2 & ~differs).alias("same"),
+    ]
 
 
 def compare_row_counts(df1: DataFrame, df2: DataFrame) -> DataFrame:

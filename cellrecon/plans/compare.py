@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from cellrecon.catalog import Catalog, parse_catalog
 from cellrecon.operators.reads import (
@@ -24,15 +24,21 @@ from cellrecon.operators.reads import (
     read_table,
 )
 from cellrecon.operators.reconcile import (
+    DIFF,
+    ONLY_IN_1,
+    ONLY_IN_2,
     compare_row_counts,
     diff_by_cell_count,
     diff_cells,
-    diff_columns,
-    diff_summary,
-    diff_tables,
+    diff_row,
+    diff_text,
+    differing_columns,
+    join_sides,
+    summary_counts,
 )
 from cellrecon.operators.scans import select_time
 from cellrecon.options import ReadOptions
+from cellrecon.session import written
 from cellrecon.sources.cells import read_cells
 from cellrecon.sources.documents import write_diff_documents
 
@@ -59,13 +65,27 @@ def compare_declared(
     options: ReadOptions = ReadOptions(),
     null_safe: bool = True,
 ) -> DeclaredComparison:
-    """Differing rows, differing columns and totals of two copies of one table."""
+    """Differing rows, differing columns and totals of two copies of one table.
+
+    Both tables are read and joined once: the differing pairs are written out, and the totals are
+    observed on the way. Rows and columns then come from the pairs.
+    """
     table1, table2 = (read_table(c, catalog, options) for c in (cells1, cells2))
-    key = [c.name for c in catalog.key]
+    key, columns = [c.name for c in catalog.key], table1.columns
+    joined = join_sides(table1, table2, key, "full_outer")
+    diff = joined.select("*", diff_text(key, columns, null_safe).alias(DIFF))
+    totals = Observation()
+    observed = diff.observe(totals, *summary_counts(key))
+    pairs = written(observed.filter(observed[DIFF] != ""), "differences")
+    names = ["rows1", "rows2", "only_in_1", "only_in_2", "changed", "same"]
+    summary = cells1.sparkSession.createDataFrame(
+        [tuple(totals.get[n] for n in names)], ", ".join(f"{n} bigint" for n in names)
+    )
+    on_both_sides = ~pairs[DIFF].isin(ONLY_IN_1, ONLY_IN_2)
     return DeclaredComparison(
-        rows=diff_tables(table1, table2, key, null_safe=null_safe),
-        columns=diff_columns(table1, table2, key),
-        summary=diff_summary(table1, table2, key),
+        rows=pairs.select(*diff_row(pairs, key, columns)),
+        columns=pairs.filter(on_both_sides).select(*differing_columns(key, columns)),
+        summary=summary,
     )
 
 

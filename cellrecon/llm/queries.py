@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cellrecon.llm import packing, token_counts, token_files
+from cellrecon.llm import packing, quality, token_counts, token_files
 from cellrecon.llm.tables import table
 from cellrecon.llm.tokens import tokenizer_path
 from cellrecon.session import scratch_path
@@ -30,12 +30,17 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_digests(spark, path)
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_best_fit_packing,
         op2_token_counts,
         op5_token_files,
+        op6_quality_rules,
     )
 }
 ORACLES: dict[str, str] = {}

@@ -1,8 +1,9 @@
 """Token ids of texts, as the tokenizers library gives them, at a fraction of its time.
 
 A text is encoded piece by piece and pieces are remembered, as most words come again and again. That
-gives the library's own ids because its normalizer, pre-tokenizer and model, which are called for
-every new piece, never look beyond a piece:
+gives the library's own ids because its normalizer, pre-tokenizer and model never look beyond a piece,
+and every new piece goes through them; only for plain ASCII and Latin-1 letters, where these two steps
+are a lower case and a pattern, are they done here.
 
 * ``words``: the pre-tokenizer drops white space, so nothing reaches across it. Pieces are the runs
   between ASCII white space.
@@ -16,6 +17,8 @@ from __future__ import annotations
 import json
 import os
 import re
+import sys
+from array import array
 from pathlib import Path
 
 import numpy as np
@@ -24,6 +27,18 @@ from tokenizers import Tokenizer
 #: A worker remembers so many pieces at most; rare ones met later are encoded each time.
 REMEMBERED = 400_000
 
+# The pattern of the tokenizer file, and both patterns for plain characters.
+_WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+_PLAIN = re.compile(" ?[!-~À-ÖØ-öø-ÿ]+")
+_PLAIN_PARTS = {
+    "words": re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^\s{_LETTERS}0-9]+"),
+    "spaced": re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[^\s{_LETTERS}0-9]+"),
+}
+#: Bytes as the characters that stand for them in byte-level models: those that don't print get a number from 256 on.
+_HIDDEN = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
+_LEVEL = {b: 256 + n for n, b in enumerate(_HIDDEN)}
+
 _SPACED = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 #: White space for Python but not for the tokenizer's pattern.
 _SEPARATORS = re.compile("[\x1c-\x1f]")
@@ -60,9 +75,8 @@ class Encoder:
         self.special = [t["content"] for t in described.get("added_tokens") or []]
         self._ids = _Memo(self._piece_ids)
         self._count = _Memo(lambda piece: len(self._piece_ids(piece)) // 4)
-        self._model = _Memo(
-            lambda piece: np.array([t.id for t in tokenizer.model.tokenize(piece)], "<u4").tobytes()
-        )
+        self._model = _Memo(self._part_ids)
+        self._plain_parts = _PLAIN_PARTS.get(self.kind)
 
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
@@ -87,10 +101,22 @@ class Encoder:
         return text.encode().split() if self.kind == "words" else _SPACED.findall(text)
 
     def _piece_ids(self, piece: bytes | str) -> bytes:
-        if self.kind == "words":
-            piece = self.tokenizer.normalizer.normalize_str(piece.decode())
-        parts = self.tokenizer.pre_tokenizer.pre_tokenize_str(piece)
-        return b"".join([self._model[part] for part, _ in parts])
+        words = self.kind == "words"
+        text = piece.decode() if words else piece
+        if _PLAIN.fullmatch(text):
+            parts = self._plain_parts.findall(text.lower() if words else text)
+            known = [p.encode().decode("latin-1").translate(_LEVEL) for p in parts]
+        else:
+            if words:
+                text = self.tokenizer.normalizer.normalize_str(text)
+            known = [p for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
+        return b"".join([self._model[p] for p in known])
+
+    def _part_ids(self, part: str) -> bytes:
+        found = array("I", [t.id for t in self.tokenizer.model.tokenize(part)])
+        if sys.byteorder == "big":
+            found.byteswap()
+        return found.tobytes()
 
 
 def _kind(described: dict) -> str:
@@ -106,7 +132,7 @@ def _kind(described: dict) -> str:
     if steps == ["Split", "ByteLevel"] and cleaned == ["NFC", "Replace", "Lowercase"]:
         split, level = splitter["pretokenizers"]
         drops = split["behavior"] == "Removed" and split["invert"]
-        if drops and r"[^\s\p{L}\p{N}]+" in split["pattern"].get("Regex", "") and not level["use_regex"]:
+        if drops and split["pattern"].get("Regex") == _WORD_PATTERN and not level["use_regex"]:
             return "words"
     return "whole"
 

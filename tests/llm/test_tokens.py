@@ -43,7 +43,7 @@ def test_awkward_texts(path, text):
     assert encoder(path).count(text) == len(direct(path, text))
 
 
-_ALPHABET = st.sampled_from(list("aB'sdtlreé ñ\n\t\r \x0b\x85  　.,!1٣ΣΟİ́̈🙂<|>_")) | st.characters(
+_ALPHABET = st.sampled_from(list("aB'sdtlreéÀßÿ×÷µ ñ\n\t\r \x0b\x85  　.,!1٣ΣΟİ́̈🙂<|>_")) | st.characters(
     exclude_categories=["Cs"]
 )
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cellrecon.llm import packing, quality, token_counts, token_files
+from cellrecon.llm import packing, quality, token_counts, token_files, toxicity, warc
 from cellrecon.llm.tables import table
 from cellrecon.llm.tokens import tokenizer_path
 from cellrecon.session import scratch_path
@@ -34,6 +34,17 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "archives")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    found = warc.read_archives(spark, path)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -41,6 +52,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_token_counts,
         op5_token_files,
         op6_quality_rules,
+        op7_warc,
+        op8_toxicity,
     )
 }
 ORACLES: dict[str, str] = {}

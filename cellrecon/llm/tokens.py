@@ -25,7 +25,7 @@ import numpy as np
 from tokenizers import Tokenizer
 
 #: A worker remembers so many pieces at most; rare ones met later are encoded each time.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 
 # The pattern of the tokenizer file, and both patterns for plain characters.
 _WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"

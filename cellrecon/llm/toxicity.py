@@ -26,7 +26,7 @@ from cellrecon.session import written
 #: Differences in bytes at which windows are counted.
 LEVELS = (3, 4, 5, 7, 9, 12)
 #: A worker remembers the differences of so many words.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 
 
 def _words(text: str) -> list[bytes]:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cellrecon.llm import jaccard_join, packing, quality, token_counts, token_files, toxicity, warc
+from cellrecon.llm import jaccard_join, packing, pii, quality, token_counts, token_files, toxicity, warc
 from cellrecon.llm.tables import table
 from cellrecon.llm.tokens import tokenizer_path
 from cellrecon.session import scratch_path
@@ -24,6 +24,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), cache, tokenizer_path(BYTES))
 
 
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     token_files.write_token_files(table(spark, sf_dir, "documents"), path, tokenizer_path(WORDS))
@@ -54,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_best_fit_packing,
         op2_token_counts,
+        op3_personal_data,
         op5_token_files,
         op6_quality_rules,
         op7_warc,

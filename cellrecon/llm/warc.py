@@ -30,6 +30,8 @@ from cellrecon.session import written
 MAGIC = "WARC/1.1\r\n"
 END = "\r\n\r\n"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+#: So many repeated payloads (some 100 bytes each) are sent to every task at most.
+BROADCAST_FIRSTS = 200_000
 
 FIELDS = (
     "page_id bigint, record_type string, refers_to bigint, target_uri string, "
@@ -73,6 +75,10 @@ def write_archives(
         .filter("n > 1 and first is not null")
         .select("digest", "first")
     )
+    firsts = written(firsts, "warc-firsts")
+    # Few enough to send to every task, the pages stay where they are; else both sides are shuffled.
+    if firsts.count() <= BROADCAST_FIRSTS:
+        firsts = F.broadcast(firsts)
     judged = rows.join(firsts, "digest", "left").withColumn(
         "first", F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first"))
     )

@@ -206,6 +206,62 @@ def jaccard_classes(
     gives no rows. Other columns are ignored.
     """
     plain = id_and_text(docs, id_col, text_col)
+    profiles, of_set = _classified(plain, recall, runs, depth, small, block, block_tokens)
+    own = profiles.select("id", "digest").join(of_set, "digest", "left")
+    return own.select(
+        F.col("id").alias(id_col),
+        F.coalesce("class_id", "copy_id", "id").alias("class_id"),
+        F.coalesce("copy_id", "id").alias("copy_id"),
+        (F.coalesce(F.col("members") - 1, F.lit(0)) + F.coalesce("links", F.lit(0))).alias("n_links"),
+    )
+
+
+def distinct_documents(
+    docs: DataFrame,
+    recall: float = 0.99,
+    runs: int = 8,
+    depth: int = 3,
+    small: int = 128,
+    block: int = 1024,
+    block_tokens: int = 2_000_000,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """One row of ``docs`` for each class of ``jaccard_classes``, that with the least id, with all its columns.
+
+    Where that id and text are repeated, one of these rows stays. Rows without words are classes of their own and stay.
+    """
+    plain = id_and_text(docs, id_col, text_col)
+    profiles, of_set = _classified(plain, recall, runs, depth, small, block, block_tokens)
+    label = F.coalesce("label", "digest")
+    least = of_set.groupBy(label.alias("label")).agg(F.min("stand_in").alias("least"))
+    kept = of_set.withColumn("label", label).join(least, "label").filter(F.col("stand_in") == F.col("least"))
+    rows = profiles.filter("digest is not null").select("digest", _key(F.col("id")).alias("key"), "tkey")
+    rows = rows.groupBy("digest", "key", "tkey").count()
+    chosen = kept.select("digest", _key(F.col("stand_in.id")).alias("kept_key"), F.col("stand_in.tkey").alias("kept_tkey"))
+    judged = rows.join(chosen, "digest", "left").withColumn(
+        "stays", F.coalesce((F.col("key") == F.col("kept_key")) & (F.col("tkey") == F.col("kept_tkey")), F.lit(False))
+    )
+    # Few of the rows go, so these are what is looked up.
+    judged = judged.filter("not stays or count > 1").select("key", "tkey", "stays")
+    judged = written(judged, "judged")
+    names = docs.columns
+    inner = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    text, own = F.coalesce(f"c{names.index(text_col)}", F.lit("")), F.col(f"c{names.index(id_col)}")
+    keyed = inner.withColumn("key", _key(own)).withColumn("tkey", F.xxhash64(text))
+    single = keyed.join(judged, ["key", "tkey"], "left_anti")
+    again = keyed.join(judged.filter("stays"), ["key", "tkey"], "left_semi").dropDuplicates(["key", "tkey"])
+    return single.unionByName(again).select(*inner.columns).toDF(*names)
+
+
+def _key(own: F.Column) -> F.Column:
+    return F.coalesce(own.cast("string"), F.lit(""))
+
+
+def _classified(
+    plain: DataFrame, recall: float, runs: int, depth: int, small: int, block: int, block_tokens: int
+) -> tuple[DataFrame, DataFrame]:
+    """Profiles of all rows; for each set its ``members``, ``links``, ``class_id`` and the class's ``label``."""
     profiles = written(_profiles(plain, runs, depth), "profiles")
     # A document for each set stands for all that have it.
     stand_in = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "tkey"))
@@ -247,21 +303,16 @@ def jaccard_classes(
     named = labels.join(nodes.select(F.col("digest").alias("node"), "id"), "node")
     classes = named.groupBy("label").agg(F.min("id").alias("class_id"))
     linked = (
-        labels.join(classes, "label").select(F.col("node").alias("digest"), "class_id").join(links, "digest")
-    )
-    of_set = written(nodes.select("digest", F.col("id").alias("copy_id"), "members").join(linked, "digest", "left"), "classes")
-    own = profiles.select("id", "digest").join(of_set, "digest", "left")
-    return own.select(
-        F.col("id").alias(id_col),
-        F.coalesce("class_id", "copy_id", "id").alias("class_id"),
-        F.coalesce("copy_id", "id").alias("copy_id"),
-        (F.coalesce(F.col("members") - 1, F.lit(0)) + F.coalesce("links", F.lit(0))).alias("n_links"),
+        labels.join(classes, "label").select(F.col("node").alias("digest"), "label", "class_id").join(links, "digest")
     )
+    own = F.struct(F.col("id").isNull().alias("none"), "id", "tkey").alias("stand_in")
+    of_set = nodes.select("digest", F.col("id").alias("copy_id"), own, "members").join(linked, "digest", "left")
+    return profiles, written(of_set, "classes")
 
 
 def _sets(plain: DataFrame, wanted: DataFrame) -> DataFrame:
     """The sets themselves of the documents that stand for ``wanted`` ones, computed anew from their texts."""
-    known = F.coalesce(F.col("id").cast("string"), F.lit(""))
+    known = _key(F.col("id"))
     texts = plain.select(known.alias("key"), F.xxhash64("text").alias("tkey"), "text")
     found = texts.join(wanted.withColumn("key", known).drop("id"), ["key", "tkey"])
 

@@ -271,6 +271,7 @@ def mask_documents(docs: DataFrame, text_col: str = "text", **bootstrap) -> Data
         "key2", F.xxhash64(F.lit("second"), F.coalesce(t, F.lit("")))
     )
     joined = keyed.join(more, ["key1", "key2"], "left").drop("key1", "key2")
+    columns = inner.columns
 
     def mask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
@@ -280,7 +281,7 @@ def mask_documents(docs: DataFrame, text_col: str = "text", **bootstrap) -> Data
                     spans = base_spans(text) + [(s["kind"], s["start"], s["end"]) for s in added or []]
                     text = masked(text, spans) if spans else text
                 made.append(text)
-            columns = [pa.array(made, pa.string()) if c == t else batch.column(c) for c in inner.columns]
-            yield pa.RecordBatch.from_arrays(columns, inner.columns)
+            kept = [pa.array(made, pa.string()) if c == t else batch.column(c) for c in columns]
+            yield pa.RecordBatch.from_arrays(kept, columns)
 
     return joined.mapInArrow(mask, inner.schema).toDF(*names)

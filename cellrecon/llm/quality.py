@@ -251,6 +251,31 @@ def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     """
     # Texts are gone through once; what is kept of them is small.
     statistics = written(rule_statistics(docs, id_col, text_col), "rule-statistics")
-    by_id = labels.groupBy(F.col("doc_id").alias("id")).agg(F.min("quality").alias("quality"))
-    verdict = fit(statistics.join(by_id.filter("id is not null"), "id"))
+    verdict = fit(statistics.join(_least_labels(labels), "id"))
     return judge(statistics, verdict).withColumnRenamed("id", id_col)
+
+
+def keep_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``quality_rules`` keeps, with all their columns."""
+    labelled = docs.join(_least_labels(labels).withColumnRenamed("id", "_label_id"), docs[id_col] == F.col("_label_id"))
+    known = written(labelled.select(docs[id_col].alias("id"), docs[text_col].alias("text"), "quality"), "labelled")
+    one_label = rule_statistics(known, "id").join(known.select("id", "quality").distinct(), "id")
+    verdict = fit(written(one_label, "rule-statistics"))
+    names = docs.columns
+    inner = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    t = f"c{names.index(text_col)}"
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches):
+            found = [count_text(text or "") for text in batch.column(t).to_pylist()]
+            counts = np.array([c for c, _ in found], np.int64).reshape(-1, len(COUNTS))
+            features = np.array([f for _, f in found]).reshape(-1, len(FEATURES))
+            failed = (counts[:, 0] < 50) | (100 * counts[:, 4] > 50 * counts[:, 0])
+            yield batch.filter(pa.array(~failed & ~verdict.odd(features)))
+
+    return inner.mapInArrow(keep, inner.schema).toDF(*names)
+
+
+def _least_labels(labels: DataFrame) -> DataFrame:
+    by_id = labels.groupBy(F.col("doc_id").alias("id")).agg(F.min("quality").alias("quality"))
+    return by_id.filter("id is not null")

@@ -5,13 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cellrecon.llm import decontamination, jaccard_join, packing, pii, quality, token_counts, token_files, toxicity, warc
+from cellrecon.llm import decontamination, jaccard_join, packing, pii, quality, token_counts, token_files, toxicity, url_filters, warc
 from cellrecon.llm.tables import table
 from cellrecon.llm.tokens import tokenizer_path
 from cellrecon.session import scratch_path
 
 WORDS, BYTES = "word_bpe_49k.json", "byte_bpe_50k.json"
+#: 2024-01-01, in epoch seconds.
+START = 1_704_067_200
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +31,50 @@ def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(table(spark, sf_dir, "documents"))
 
 
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as captures, one a minute from 2024 on, against an hourly list that they themselves give rise to.
+
+    At each full hour every domain with captures in the hour before gets an entry: listed if more than
+    half of these pages had more than 1 % symbols, not listed otherwise.
+    """
+    pages = table(spark, sf_dir, "pages").withColumn("fetched_at", START + 60 * F.col("page_id"))
+    symbols = F.length("html") - F.length(F.translate("html", "#*$%", ""))
+    seen = pages.select(
+        F.explode(url_filters.domains(url_filters.host(F.col("url")))).alias("domain"),
+        (F.floor(F.col("fetched_at") / 3600) * 3600 + 3600).alias("at"),
+        (100 * symbols > F.length("html")).cast("int").alias("junk"),
+    )
+    entries = seen.groupBy("domain", "at").agg((2 * F.sum("junk") > F.count(F.lit(1))).alias("listed"))
+    return url_filters.evaluate(pages, entries)
+
+
+OP4_SQL = """
+WITH captures AS (
+    SELECT page_id, 1704067200 + 60 * page_id AS t, html,
+           nullif(rtrim(regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1), '.'), '') AS host
+    FROM pages
+), named AS (
+    SELECT page_id, t, host, html, unnest(range(0, greatest(len(string_split(host, '.')) - 1, 1))) AS i FROM captures
+), asked AS (
+    SELECT page_id, t, html, array_to_string(string_split(host, '.')[i + 1:], '.') AS domain FROM named
+), entries AS (
+    SELECT domain, t // 3600 * 3600 + 3600 AS t,
+           2 * sum((100 * (length(html) - length(translate(html, '#*$%', ''))) > length(html))::INT) > count(*) AS listed
+    FROM asked GROUP BY ALL
+), changes AS (
+    SELECT * FROM entries
+    QUALIFY lag(listed) OVER (PARTITION BY domain ORDER BY t) IS DISTINCT FROM listed
+), spans AS (
+    SELECT domain, listed, t AS since, lead(t) OVER (PARTITION BY domain ORDER BY t) AS until FROM changes
+), hits AS (
+    SELECT a.page_id, max({'n': length(a.domain), 'domain': a.domain, 'since': s.since}) AS m
+    FROM asked a JOIN spans s ON a.domain = s.domain AND s.listed AND a.t >= s.since AND (s.until IS NULL OR a.t < s.until)
+    GROUP BY a.page_id
+)
+SELECT page_id, host, m IS NOT NULL AS blocked, m.domain AS domain, m.since AS since FROM captures LEFT JOIN hits USING (page_id)
+"""
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     token_files.write_token_files(table(spark, sf_dir, "documents"), path, tokenizer_path(WORDS))
@@ -63,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_best_fit_packing,
         op2_token_counts,
         op3_personal_data,
+        op4_url_filters,
         op5_token_files,
         op6_quality_rules,
         op7_warc,
@@ -71,4 +119,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_ngram_jaccard_join,
     )
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op4_url_filters": OP4_SQL}

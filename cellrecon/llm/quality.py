@@ -184,14 +184,15 @@ def fit(
 ) -> Verdict:
     """A forest and its threshold from rows of ``rule_statistics`` with ``quality`` (1 good, 0 bad).
 
-    Trees draw their samples from a random ``grow_rows`` of the labelled rows that pass the rules, the
-    bound on what the driver holds. The threshold weighs all of them, binned by score: it rejects at
+    Trees draw their samples from a random ``grow_rows`` of the labelled rows, also those that fail the rules,
+    the bound on what the driver holds. The threshold weighs all rows that pass them, binned by score: it rejects at
     most ``max_good_rejected`` of the good ones, and a good one counts ``good_weight`` times a bad one
     missed. Rows without a label are ignored; without a bad or a good row nothing is rejected.
     """
-    usable = labelled.filter(F.col("quality").isin(0, 1) & ~base_failed())
+    rated = labelled.filter(F.col("quality").isin(0, 1))
+    usable = rated.filter(~base_failed())
     order = F.xxhash64("id", "features")
-    drawn = usable.select("features", order.alias("at")).orderBy("at", "features").limit(grow_rows).collect()
+    drawn = rated.select("features", order.alias("at")).orderBy("at", "features").limit(grow_rows).collect()
     points = np.array([r["features"] for r in drawn]).reshape(len(drawn), len(FEATURES))
     forest = grow_forest(points, trees, sample)
     if forest is None:

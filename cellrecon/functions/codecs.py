@@ -90,7 +90,17 @@ def _encode_int(value: Column, width: int, sortable: bool) -> Column:
     return _int_bytes(value, width)
 
 
+def _of_width(cell: Column, width: int, value: Column) -> Column:
+    """``value`` for cells of ``width`` bytes; any other cell fails the job instead of giving a wrong number."""
+    wrong = F.raise_error(F.concat(F.lit(f"a cell should have {width} bytes, not "), F.octet_length(cell).cast("string")))
+    return F.when(cell.isNull() | (F.octet_length(cell) == width), value).otherwise(wrong)
+
+
 def _decode_int(cell: Column, width: int, sortable: bool) -> Column:
+    return _of_width(cell, width, _int_of(cell, width, sortable))
+
+
+def _int_of(cell: Column, width: int, sortable: bool) -> Column:
     if width == 8:
         value = F.conv(F.hex(cell), 16, -10).cast("bigint")
         return value.bitwiseXOR(F.lit(_LONG_SIGN_BIT)) if sortable else value

@@ -26,11 +26,6 @@ from cellrecon.session import cut_lineage
 
 RANGE = ["grp", "lo", "lo_inc", "hi", "hi_inc"]
 
-# Range lists up to this length become a predicate that the scan can use.
-MAX_PREDICATE_RANGES = 200
-# Range tables up to this length (some 20 MB) are broadcast to integer keys.
-MAX_BROADCAST_RANGES = 200_000
-
 _INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 _BOUND = ["_infinity", "_value", "_after"]
@@ -211,30 +206,49 @@ def filter_by_ranges(
     rows: DataFrame,
     key: str,
     ranges: DataFrame | Sequence[KeyRange],
-    max_predicate_ranges: int = MAX_PREDICATE_RANGES,
-    max_broadcast_ranges: int = MAX_BROADCAST_RANGES,
+    method: str | None = None,
 ) -> DataFrame:
-    """Rows whose key lies in any of the ranges, each row once.
+    """Rows whose key lies in any of the ranges, each row once. All methods find the same rows.
 
-    The ranges are measured first. A few become a predicate. Up to ``max_broadcast_ranges`` are
-    broadcast, coalesced and filed by buckets, to rows with integer keys, which do not move.
-    Otherwise they are counted along the sorted distinct keys, and the rows semi-joined with the
-    keys found covered. No key is ever compared to all ranges.
+    ``predicate``, the default for a list, becomes a condition that the scan can use; a DataFrame is
+    collected for it. ``count``, the default for a DataFrame, counts the ranges along the sorted distinct
+    keys and semi-joins the rows with the keys found covered, for any number of ranges and any type
+    of key. ``broadcast``, for integer keys, sends the coalesced ranges to every task, filed by buckets,
+    and leaves the rows where they are; the caller knows that they fit. Integer keys take bounds of any numeric type.
     """
     if not isinstance(ranges, DataFrame):
+        if method not in (None, "predicate"):
+            raise ValueError("a list of ranges is always a predicate")
         return rows.filter(in_ranges(key, ranges))
+    if method not in (None, "predicate", "broadcast", "count"):
+        raise ValueError(f"unknown method {method!r}")
     ranges = ranges.select("lo", "lo_inc", "hi", "hi_inc")
-    few = ranges.limit(max_predicate_ranges + 1).collect()
-    if len(few) <= max_predicate_ranges:
-        return rows.filter(in_ranges(key, [KeyRange(r.lo, r.hi, r.lo_inc, r.hi_inc) for r in few]))
-
-    if isinstance(rows.schema[key].dataType, _INTEGERS) and (
-        ranges.limit(max_broadcast_ranges + 1).count() <= max_broadcast_ranges
-    ):
+    whole = isinstance(rows.schema[key].dataType, _INTEGERS)
+    if whole:
+        ranges = _whole_bounds(ranges)
+    if method == "predicate":
+        found = [KeyRange(r.lo, r.hi, r.lo_inc, r.hi_inc) for r in ranges.collect()]
+        return rows.filter(in_ranges(key, found))
+    if method == "broadcast":
+        if not whole:
+            raise ValueError("ranges can be broadcast to integer keys only")
         return _filter_by_buckets(rows, key, ranges)
     return _filter_by_counting(rows, key, ranges)
 
 
+def _whole_bounds(ranges: DataFrame) -> DataFrame:
+    """The same integers in ranges with bigint bounds: fractions move inwards, what is beyond bigint is open or empty."""
+    if all(isinstance(ranges.schema[c].dataType, _INTEGERS) for c in ("lo", "hi")):
+        return ranges
+    lo, hi, top = F.col("lo"), F.col("hi"), F.lit(2.0**63)
+    first = F.when(lo < -top, None).when(F.col("lo_inc"), F.ceil(lo)).otherwise(F.floor(lo))
+    last = F.when(hi >= top, None).when(F.col("hi_inc"), F.floor(hi)).otherwise(F.ceil(hi))
+    inside = (lo.isNull() | (lo < top)) & (hi.isNull() | (hi >= -top))
+    return ranges.filter(inside).select(
+        first.cast("bigint").alias("lo"), "lo_inc", last.cast("bigint").alias("hi"), "hi_inc"
+    )
+
+
 def _filter_by_buckets(rows: DataFrame, key: str, ranges: DataFrame) -> DataFrame:
     """Semi-join by equality of power-of-two buckets about as wide as each range.
 

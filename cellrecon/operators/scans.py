@@ -15,8 +15,6 @@ from pyspark.sql import functions as F
 from cellrecon.options import ReadOptions
 from cellrecon.sources.cells import CELL
 
-# Key lists up to this length become an IN predicate that the scan can use; longer ones are joined.
-_IN_LIST = 1000
 # Above this many versions Spark's own limit on ranked rows no longer works ahead of the shuffle.
 _RANK_LIMIT_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
 _RANK_SALTS = 256
@@ -80,7 +78,8 @@ def latest_cells(cells: DataFrame) -> DataFrame:
 
     Aggregated before the shuffle, so a cell with very many versions costs one row per task.
     """
-    order = F.struct("ts", "seq") if "seq" in cells.columns else F.col("ts")
+    # Without a sequence the greater of two values for the same time holds, as in version reads.
+    order = F.struct("ts", "seq" if "seq" in cells.columns else "value")
     return cells.groupBy(*CELL).agg(
         F.max("ts").alias("ts"), F.max_by(F.col("value"), order).alias("value")
     )
@@ -115,15 +114,10 @@ def _ranked(cells: DataFrame, group: list[str], n: int) -> DataFrame:
 def multi_get(rows: DataFrame, keys: DataFrame | Sequence, key: str = "row_key") -> DataFrame:
     """Rows whose key is in a list of keys, given as values or as a one-column DataFrame.
 
-    A short list becomes a predicate. Longer ones are semi-joined; which side travels is left to
-    Spark, which knows the sizes.
+    A list becomes a predicate, whatever its length, with each value cast to the key's type. A
+    DataFrame is semi-joined; which side travels is left to Spark, which knows the sizes.
     """
     if not isinstance(keys, DataFrame):
-        keys = list(keys)
-        if len(keys) <= _IN_LIST:
-            return rows.filter(F.col(key).isin(keys))
-        field = rows.schema[key]
-        keys = rows.sparkSession.createDataFrame(
-            [(k,) for k in keys], f"`{key}` {field.dataType.simpleString()}"
-        )
+        kind = rows.schema[key].dataType
+        return rows.filter(F.col(key).isin([F.lit(k).cast(kind) for k in keys]))
     return rows.join(keys.toDF(key).distinct(), key, "left_semi")

@@ -21,7 +21,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
-    elif sc.master.startswith("local"):
+    elif sc.master == "local" or sc.master.startswith("local["):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="cellrecon-checkpoint-"))
     else:
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")

@@ -81,6 +81,20 @@ def filter_by_ranges(spark, d):
     return ranges.filter_by_ranges(orders, "o_orderkey", part_ranges(spark, d))
 
 
+@query(
+    "filter_by_ranges_fractional",
+    """SELECT o_orderkey, o_custkey FROM orders o WHERE EXISTS (
+        SELECT 1 FROM part p WHERE o.o_orderkey > p.p_partkey * 7 / 2.0 AND o.o_orderkey < p.p_partkey * 7 / 2.0 + 1.5)""",
+)
+def filter_by_ranges_fractional(spark, d):
+    lo = F.col("p_partkey") * 7 / 2.0
+    wanted = table(spark, d, "part").select(
+        lo.alias("lo"), F.lit(False).alias("lo_inc"), (lo + 1.5).alias("hi"), F.lit(False).alias("hi_inc")
+    )
+    orders = table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    return ranges.filter_by_ranges(orders, "o_orderkey", wanted)
+
+
 @query(
     "filter_by_range_list",
     """SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem

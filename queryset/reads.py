@@ -8,7 +8,7 @@ from cellrecon.operators import reads, reconcile, scans
 from cellrecon.sources.cells import read_pair
 from queryset.registry import query
 from queryset.tables import (
-    EVENTS_1,
+    ALL_EVENTS,
     JAN08,
     JAN15,
     Y1999,
@@ -76,14 +76,14 @@ def read_version_rows(spark, d):
     "read_version_map",
     sql(
         """SELECT row_key, ts, value FROM ranked
-        WHERE qualifier = 'price' AND rank <= 5""",
+        WHERE qualifier = 'price'""",
         "order_cells",
         versions=VERSIONS.format(cells="order_cells"),
         ranked=RANKED,
     ),
 )
 def read_version_map(spark, d):
-    maps = reads.read_version_map(order_cells(spark, d), "o", "price", max_versions=5)
+    maps = reads.read_version_map(order_cells(spark, d), "o", "price")
     return maps.select("row_key", F.explode("data").alias("ts", "value"))
 
 
@@ -103,14 +103,14 @@ def read_dynamic_family(spark, d):
 @query(
     "read_dynamic_versions",
     sql(
-        "SELECT row_key, qualifier, ts, value FROM ranked WHERE rank <= 4",
+        "SELECT row_key, qualifier, ts, value FROM ranked",
         "event_cells",
         versions=VERSIONS.format(cells="event_cells"),
         ranked=RANKED,
     ),
 )
 def read_dynamic_versions(spark, d):
-    maps = reads.read_dynamic_versions(event_cells(spark, d), "e", max_versions=4)
+    maps = reads.read_dynamic_versions(event_cells(spark, d), "e")
     outer = maps.select("row_key", F.explode("data").alias("qualifier", "versions"))
     return outer.select("row_key", "qualifier", F.explode("versions").alias("ts", "value"))
 
@@ -199,19 +199,19 @@ def multi_get(spark, d):
     "read_pair",
     sql(
         f"""SELECT row_key, qualifier, arg_max(value, (ts, seq)) AS value, 1 AS side FROM event_cells
-        WHERE ts >= {EVENTS_1[0]} AND ts < {EVENTS_1[1]} GROUP BY row_key, qualifier
+        WHERE ts >= {ALL_EVENTS[0]} AND ts < {ALL_EVENTS[1]} GROUP BY row_key, qualifier
         UNION ALL
         SELECT row_key, qualifier, arg_max(value, (ts, seq)) AS value, 2 AS side FROM tagged_cells
-        WHERE ts >= {EVENTS_1[0]} AND ts < {EVENTS_1[1]} GROUP BY row_key, qualifier""",
+        WHERE ts >= {ALL_EVENTS[0]} AND ts < {ALL_EVENTS[1]} GROUP BY row_key, qualifier""",
         "event_cells",
         "tagged_cells",
     ),
 )
 def pair(spark, d):
     return read_pair(
-        event_cells(spark, d, EVENTS_1),
-        tagged_cells(spark, d, EVENTS_1),
-        lambda cells: reads.family_entries(scans.scan_time_range(cells, *EVENTS_1), "e"),
+        event_cells(spark, d, ALL_EVENTS),
+        tagged_cells(spark, d, ALL_EVENTS),
+        lambda cells: reads.family_entries(scans.scan_time_range(cells, *ALL_EVENTS), "e"),
     )
 
 

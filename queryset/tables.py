@@ -22,7 +22,7 @@ from cellrecon.sources.cells import cells_from_rows, epoch_millis, within_time
 Range = tuple[int, int]
 
 # UTC midnights in epoch milliseconds.
-Y1999, Y2000, MID2000, Y2002 = 915148800000, 946684800000, 962409600000, 1009843200000
+Y1999, MID2000 = 915148800000, 962409600000
 JAN01, JAN08, JAN15, JAN22, FEB01 = (
     1704067200000,
     1704672000000,
@@ -31,8 +31,11 @@ JAN01, JAN08, JAN15, JAN22, FEB01 = (
     1706745600000,
 )
 
-ORDERS_1, ORDERS_2 = (Y1999, MID2000), (Y2000, Y2002)
+Y1995, Y1998, MID1999, Y2003 = 788918400000, 883612800000, 930787200000, 1041379200000
+# Together these cover all orders and all events; most customers and users are on both sides.
+ORDERS_1, ORDERS_2 = (Y1995, MID1999), (Y1998, Y2003)
 EVENTS_1, EVENTS_2 = (JAN01, JAN22), (JAN08, FEB01)
+ALL_EVENTS = (JAN01, FEB01)
 
 ORDER_CATALOG = """{
     "table": {"namespace": "default", "name": "customer_orders"},

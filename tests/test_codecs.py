@@ -171,3 +171,15 @@ def test_record_of_a_scalar(spark):
 def test_types_a_record_cannot_hold(dt):
     with pytest.raises(ValueError):
         records.stored_type(dt)
+
+
+@pytest.mark.parametrize("coder", ["PrimitiveType", "Phoenix"])
+@pytest.mark.parametrize(("kind", "width"), [("tinyint", 1), ("smallint", 2), ("int", 4), ("bigint", 8)])
+def test_integers_of_another_width_fail(spark, coder, kind, width):
+    decode = codecs.decode_native if coder == "PrimitiveType" else codecs.decode_sortable
+    data_type = spark.createDataFrame([], f"v {kind}").schema["v"].dataType
+    cells = lambda n: spark.createDataFrame([(bytearray(n),)], "c binary").select(decode(F.col("c"), data_type))
+    assert cells(width).count() == 1 and cells(width).collect()[0][0] is not None
+    for wrong in {0, 3, 5, width + 1} - {width}:
+        with pytest.raises(Exception, match="bytes"):
+            cells(wrong).collect()

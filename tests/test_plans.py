@@ -135,7 +135,7 @@ def test_no_operator_plans_a_cross_join(cells, spark):
 
 
 def test_bucketed_range_filter_does_not_move_the_rows(cells, spark):
-    assert exchanges(ranges.filter_by_ranges(cells, "row_key", points(spark))) == 0
+    assert exchanges(ranges.filter_by_ranges(cells, "row_key", points(spark), "broadcast")) == 0
 
 
 def test_range_lists_and_prefixes_reach_the_scan(cells, spark):

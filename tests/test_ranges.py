@@ -174,14 +174,13 @@ def test_split(spark):
 
 
 @pytest.mark.parametrize("seed", range(3))
-@pytest.mark.parametrize("way", ["predicate", "buckets", "counting"])
+@pytest.mark.parametrize("way", ["predicate", "broadcast", "count"])
 def test_filter_by_ranges(spark, seed, way):
     given = some_ranges(seed, 30, open_ended=seed == 2)
     keys = [*range(-3, 30), None, 7, 7, 7]
     df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "key int, n int")
-    limits = {"predicate": (100, 0), "buckets": (0, 100), "counting": (0, 0)}[way]
     table = spark.createDataFrame(given, SCHEMA)
-    found = ranges.filter_by_ranges(df, "key", table, *limits)
+    found = ranges.filter_by_ranges(df, "key", table, way)
     expected = [i for i, k in enumerate(keys) if k is not None and any(contains(r, k) for r in given)]
     assert sorted(r.n for r in found.collect()) == expected
 
@@ -193,7 +192,7 @@ def test_bucket_filter_at_the_ends_of_bigint(spark):
 
     def found(*rs):
         t = spark.createDataFrame(list(rs), schema)
-        return sorted(r.k for r in ranges.filter_by_ranges(df, "k", t, 0, 100).collect())
+        return sorted(r.k for r in ranges.filter_by_ranges(df, "k", t, "broadcast").collect())
 
     assert found((None, False, None, False)) == [bottom, bottom + 1, -1, 0, 1, top - 1, top]
     assert found((bottom, False, -1, False), (top, True, top, True)) == [bottom + 1, top]
@@ -201,6 +200,34 @@ def test_bucket_filter_at_the_ends_of_bigint(spark):
     assert found((-1, True, 1, False), (top - 1, True, None, False)) == [-1, 0, top - 1, top]
 
 
+@pytest.mark.parametrize("kind", ["double", "decimal(12,1)"])
+@pytest.mark.parametrize("way", ["predicate", "broadcast", "count"])
+def test_fractional_bounds_of_integer_keys(spark, kind, way):
+    rng = random.Random(9)
+    halves = lambda: None if rng.random() < 0.01 else rng.randrange(-20, 4000) / 2
+    given = []
+    for _ in range(250):
+        lo = halves()
+        hi = None if lo is None else lo + rng.randrange(0, 8) / 2
+        given.append((lo if rng.random() < 0.99 else None, rng.random() < 0.5, hi, rng.random() < 0.5))
+    given = [g for g in given if g[0] is not None and g[2] is not None] + [(None, True, -8.5, False), (1990.5, False, None, True)]
+    df = spark.range(-20, 2100).withColumnRenamed("id", "key")
+    table = spark.createDataFrame(given, "lo double, lo_inc boolean, hi double, hi_inc boolean")
+    table = table.withColumns({c: F.col(c).cast(kind) for c in ("lo", "hi")})
+    inside = lambda k, r: (r[0] is None or k > r[0] or (r[1] and k == r[0])) and (r[2] is None or k < r[2] or (r[3] and k == r[2]))
+    expected = [k for k in range(-20, 2100) if any(inside(k, r) for r in given)]
+    assert sorted(r.key for r in ranges.filter_by_ranges(df, "key", table, way).collect()) == expected
+
+
+def test_bounds_beyond_bigint(spark):
+    df = spark.range(3)
+    schema = "lo double, lo_inc boolean, hi double, hi_inc boolean"
+    for given, expected in (((-1e30, True, 1e30, True), [0, 1, 2]), ((1e30, True, None, True), []), ((None, True, -1e30, True), [])):
+        for way in ("predicate", "broadcast", "count"):
+            found = ranges.filter_by_ranges(df, "id", spark.createDataFrame([given], schema), way)
+            assert sorted(r.id for r in found.collect()) == expected
+
+
 def test_filter_by_a_list(spark):
     df = spark.range(20)
     wanted = [KeyRange(hi=3), KeyRange(5, 7, lo_inc=False, hi_inc=True), KeyRange(lo=18)]

@@ -246,3 +246,17 @@ def test_value_lists_with_nulls(spark):
 
 def test_cells_per_row(cells):
     assert rows(reads.cells_per_row(cells)) == [("a", 3), ("b", 2), ("c", 1)]
+
+
+def test_a_list_of_keys_means_the_same_at_any_length(spark):
+    df = spark.createDataFrame([(k,) for k in (1, 2, 3)], "row_key bigint")
+    for n in (1000, 1001):
+        found = scans.multi_get(df, [str(k) for k in range(2, n + 2)])
+        assert sorted(r.row_key for r in found.collect()) == [2, 3]
+
+
+def test_ties_without_a_sequence_go_to_the_greater_value(spark):
+    cells = [("k", "f", "q", 5, v) for v in "ab"]
+    for given in (cells, cells[::-1]):
+        df = spark.createDataFrame(given, "row_key string, family string, qualifier string, ts bigint, value string").coalesce(1)
+        assert [r.value for r in scans.latest_cells(df).collect()] == ["b"]

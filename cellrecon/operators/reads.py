@@ -50,7 +50,7 @@ def _is_cell(family: str, qualifier: str) -> Column:
 
 
 def _order(cells: DataFrame) -> Column:
-    return F.struct("ts", "seq") if "seq" in cells.columns else F.col("ts")
+    return F.struct("ts", "seq" if "seq" in cells.columns else "value")
 
 
 # ---- declared columns ---------------------------------------------------------------------------
@@ -103,7 +103,7 @@ def read_version_rows(cells: DataFrame, columns: ColumnNames) -> DataFrame:
     The version time is not part of the row, so equal versions of a key are one row.
     """
     cells = _restrict(cells, columns.values(), Restrictive.COLUMN)
-    order = F.col("seq" if "seq" in cells.columns else "ts")
+    order = F.col("seq" if "seq" in cells.columns else "value")
     versions = cells.groupBy("row_key", "ts").agg(
         *[
             F.max_by(F.col("value"), F.when(_is_cell(family, qualifier), order)).alias(name)

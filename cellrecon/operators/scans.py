@@ -50,16 +50,16 @@ def select_time(cells: DataFrame, options: ReadOptions) -> DataFrame:
     return cells
 
 
-def _matches(family: str, qualifier: str) -> Column:
-    return (F.col("family") == family) & (F.col("qualifier") == qualifier)
-
-
 def project_columns(cells: DataFrame, columns: Iterable[tuple[str, str]]) -> DataFrame:
-    """Cells of the named ``(family, qualifier)`` columns."""
-    condition = F.lit(False)
-    for family, qualifier in columns:
-        condition = condition | _matches(family, qualifier)
-    return cells.filter(condition)
+    """Cells of the named ``(family, qualifier)`` columns, one list of qualifiers for each family."""
+    families: dict[str, list[str]] = {}
+    for family, qualifier in dict.fromkeys(columns):
+        families.setdefault(family, []).append(qualifier)
+    terms = [(F.col("family") == f) & F.col("qualifier").isin(q) for f, q in families.items()]
+    while len(terms) > 1:  # in halves, so that many families don't make a deep expression
+        pairs = zip(terms[::2], terms[1::2], strict=False)
+        terms = [a | b for a, b in pairs] + terms[len(terms) // 2 * 2 :]
+    return cells.filter(terms[0] if terms else F.lit(False))
 
 
 def project_families(cells: DataFrame, families: Iterable[str]) -> DataFrame:

@@ -260,3 +260,12 @@ def test_ties_without_a_sequence_go_to_the_greater_value(spark):
     for given in (cells, cells[::-1]):
         df = spark.createDataFrame(given, "row_key string, family string, qualifier string, ts bigint, value string").coalesce(1)
         assert [r.value for r in scans.latest_cells(df).collect()] == ["b"]
+
+
+def test_wide_catalogs(spark):
+    columns = {f"c{i}": (f"f{i % 300}", f"q{i}") for i in range(2000)}
+    wanted = [("k", f"f{i % 300}", f"q{i}", 1, str(i)) for i in range(0, 2000, 7)] + [("k", "f1", "other", 1, "x")]
+    df = spark.createDataFrame(wanted, "row_key string, family string, qualifier string, ts bigint, value string")
+    assert scans.project_columns(df, columns.values()).count() == len(wanted) - 1
+    row = reads.read_latest_wide(df, columns).collect()[0].asDict()
+    assert {k: v for k, v in row.items() if v is not None} == {"row_key": "k", **{f"c{i}": str(i) for i in range(0, 2000, 7)}}

@@ -35,19 +35,21 @@ def token_pieces(
     capacity: int = 4096,
     end_id: int = 1,
     with_ids: bool = False,
+    remembered: int = 150_000,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
     """Whole texts as tokens, ``end_id`` appended, those beyond ``capacity`` cut into pieces of it.
 
     A row for each piece: ``doc_id, piece, start, length, ids_crc32`` and, if asked for, ``ids``. A null
-    text is the one token ``end_id``. Null and repeated ids are kept, each row with pieces of its own.
+    text is the one token ``end_id``. Null and repeated ids are kept, each row with pieces of its own. A worker remembers
+    the ids of ``remembered`` words.
     """
     plain = id_and_text(docs, id_col, text_col).withColumn("id", F.col("id").cast("bigint"))
     names = [f.split()[0] for f in PIECES.split(", ")] + (["ids"] if with_ids else [])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of, end, step = encoder(tokenizer).ids, np.array([end_id], "<u4").tobytes(), 4 * capacity
+        ids_of, end, step = encoder(tokenizer, remembered).ids, np.array([end_id], "<u4").tobytes(), 4 * capacity
         for batch in chunks(batches):
             row, number, start, parts = [], [], [], []
             for i, text in enumerate(batch.column("text").to_pylist()):

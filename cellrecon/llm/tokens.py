@@ -25,7 +25,7 @@ import numpy as np
 from tokenizers import Tokenizer
 
 #: A worker remembers so many pieces at most; rare ones met later are encoded each time.
-REMEMBERED = 150_000
+REMEMBERED = 400_000
 
 # The pattern of the tokenizer file, and both patterns for plain characters.
 _WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -51,13 +51,13 @@ def tokenizer_path(name: str) -> str:
 
 
 class _Memo(dict):
-    def __init__(self, make):
+    def __init__(self, make, most: int):
         super().__init__()
-        self.make = make
+        self.make, self.most = make, most
 
     def __missing__(self, key):
         value = self.make(key)
-        if len(self) < REMEMBERED:
+        if len(self) < self.most:
             self[key] = value
         return value
 
@@ -65,7 +65,7 @@ class _Memo(dict):
 class Encoder:
     """Ids or counts for whole texts, without added special tokens, truncation or padding."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         tokenizer = Tokenizer.from_file(path)
         tokenizer.no_truncation()
@@ -73,9 +73,9 @@ class Encoder:
         described = json.loads(Path(path).read_text())
         self.tokenizer, self.kind = tokenizer, _kind(described)
         self.special = [t["content"] for t in described.get("added_tokens") or []]
-        self._ids = _Memo(self._piece_ids)
-        self._count = _Memo(lambda piece: len(self._piece_ids(piece)) // 4)
-        self._model = _Memo(self._part_ids)
+        self._ids = _Memo(self._piece_ids, remembered)
+        self._count = _Memo(lambda piece: len(self._piece_ids(piece)) // 4, remembered)
+        self._model = _Memo(self._part_ids, remembered)
         self._plain_parts = _PLAIN_PARTS.get(self.kind)
 
     def ids(self, text: str) -> bytes:
@@ -137,11 +137,11 @@ def _kind(described: dict) -> str:
     return "whole"
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, int], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """One for each worker and file, with what it remembers."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+def encoder(path: str, remembered: int = REMEMBERED) -> Encoder:
+    """One for each worker, file and bound, with what it remembers (some 300 bytes a piece)."""
+    if (path, remembered) not in _encoders:
+        _encoders[path, remembered] = Encoder(path, remembered)
+    return _encoders[path, remembered]

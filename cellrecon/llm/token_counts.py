@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from cellrecon.llm.tables import chunks, id_and_text
 from cellrecon.llm.tokens import encoder
+from cellrecon.session import written
 
 _CACHE = "digest binary, n_tokens bigint"
 
@@ -42,7 +43,9 @@ def token_counts(
     keyed = id_and_text(docs, id_col, text_col).withColumn("digest", F.unhex(F.sha2("text", 256)))
     stored = f"{cache_path}/tokenizer={tokenizer_digest(tokenizer)}"
     _append_misses(keyed.select("digest", "text"), stored, tokenizer)
-    counts = _cached(spark, stored)
+    # Stored once more, each digest has one row without a grouping in the join's own stage, which would
+    # keep Spark from splitting a text that a third of the documents share.
+    counts = written(_cached(spark, stored), "token-counts")
     return (
         keyed.select("id", F.octet_length("text").cast("bigint").alias("n_bytes"), "digest")
         .join(counts, "digest", "left")

@@ -3,8 +3,8 @@
 Plain forms are found by four patterns. They are the seeds of a bootstrap: the words around a seed make lexical
 patterns, and what else stands in such a place (any word with a digit or an ``@``) is an instance. Spark
 scores the graph of patterns and instances in rounds: a pattern is as good as the share of its
-instances that are known, an instance as the best of its patterns together. Patterns that end with a high score and enough
-distinct seeds mark the instances they hold as identifiers of that kind.
+instances that are known, by being seeds or by other places where trusted patterns hold them. Patterns that end with a high
+score and enough distinct seeds mark the instances they hold as identifiers of that kind.
 """
 
 from __future__ import annotations
@@ -172,40 +172,62 @@ def confident_patterns(
     """``pattern, kind`` of the patterns to trust.
 
     ``doubt`` is added to the instances of each pattern as if so many had been unknown. Seeds keep their
-    own kind throughout; another instance's score is the chance that at least one of its patterns is right.
+    own kind throughout. Another instance is known by its witnesses, the different places where it stands: a place is
+    as good as the better of its two patterns, and only patterns that have the seeds and the score to be trusted
+    count. For a pattern an instance is scored without the places of that pattern, so that none vouches for itself,
+    nor two that hold the same places for each other; what is trusted rests on seeds alone, or on others trusted before.
     """
-    seen = scanned.select(F.explode("mentions").alias("m")).select(
-        "m.instance", "m.seed", F.explode(F.array("m.before", "m.around")).alias("pattern")
-    )
+    places = scanned.select(F.explode("mentions").alias("m")).select("m.instance", "m.seed", "m.before", "m.around")
+    # One row for each instance and pair of patterns: the same words around it again are the same witness.
+    places = written(places.groupBy("instance", "before", "around").agg(F.min("seed").alias("seed")), "pii-places")
     edges = written(
-        seen.filter("pattern is not null").groupBy("pattern", "instance").agg(F.min("seed").alias("seed")), "pii-edges"
+        _by_pattern(places).groupBy("pattern", "instance").agg(F.min("seed").alias("seed")), "pii-edges"
     )
-    # Without a seed a pattern can't be learned, so its edges only matter where another pattern vouches for the instance.
-    known = edges.filter("seed is not null").select("instance", F.col("seed").alias("kind"), F.lit(1.0).alias("score")).distinct()
-    found = known
-    for _ in range(rounds):
-        patterns = written(_pattern_scores(edges, found, doubt), "pii-patterns")
-        reached = (
-            edges.filter("seed is null")
-            .join(patterns, "pattern")
-            .groupBy("instance", "kind")
-            .agg((1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("score"), F.lit(1e-6)))))).alias("score"))
-        )
-        found = written(known.unionByName(reached), "pii-instances")
-    patterns = _pattern_scores(edges, found, doubt)
-    return patterns.filter((F.col("seeds") >= least_seeds) & (F.col("score") >= least_score)).select("pattern", "kind")
-
-
-def _pattern_scores(edges: DataFrame, found: DataFrame, doubt: float) -> DataFrame:
     totals = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"))
-    sums = (
-        edges.join(found, "instance")
-        .groupBy("pattern", "kind")
-        .agg(F.sum("score").alias("sum"), F.count("seed").alias("seeds"))
-        .filter("seeds > 0")
+    # Without a seed a pattern can't be learned, so only these can ever be trusted.
+    seeded = written(
+        edges.filter("seed is not null")
+        .groupBy("pattern", F.col("seed").alias("kind"))
+        .agg(F.count(F.lit(1)).alias("seeds"))
+        .filter(F.col("seeds") >= least_seeds)
+        .join(totals, "pattern"),
+        "pii-patterns",
+    )
+    unknown = places.filter("seed is null").drop("seed")
+    trusted = None
+    for _ in range(rounds + 1):
+        scores = seeded.select("pattern", "kind", (F.col("seeds") / (F.col("n") + doubt)).alias("score"))
+        if trusted is not None:
+            vouched = _vouched(unknown, trusted).groupBy("pattern", "kind").agg(F.sum("score").alias("sum"))
+            scores = seeded.join(vouched, ["pattern", "kind"], "left").select(
+                "pattern", "kind", ((F.col("seeds") + F.coalesce("sum", F.lit(0.0))) / (F.col("n") + doubt)).alias("score")
+            )
+        trusted = written(scores.filter(F.col("score") >= least_score), "pii-trusted")
+    return trusted.select("pattern", "kind")
+
+
+def _by_pattern(places: DataFrame) -> DataFrame:
+    """A row for each pattern of a place."""
+    return places.withColumn("pattern", F.explode(F.array_compact(F.array("before", "around"))))
+
+
+def _vouched(places: DataFrame, trusted: DataFrame) -> DataFrame:
+    """``pattern, instance, kind, score``: how well an instance is known by its places outside the pattern."""
+    good = (
+        _by_pattern(places)
+        .join(trusted, "pattern")
+        .groupBy("instance", "before", "around", "kind")
+        .agg(F.log(F.greatest(1 - F.max("score"), F.lit(1e-6))).alias("doubt"))
     )
-    return sums.join(totals, "pattern").select(
-        "pattern", "kind", "seeds", (F.col("sum") / (F.col("n") + doubt)).alias("score")
+    of_all = good.groupBy("instance", "kind").agg(F.sum("doubt").alias("all"), F.count(F.lit(1)).alias("n"))
+    own = _by_pattern(good).groupBy("pattern", "instance", "kind").agg(F.sum("doubt").alias("own"), F.count(F.lit(1)).alias("n_own"))
+    held = _by_pattern(places.join(of_all.select("instance").distinct(), "instance", "left_semi")).select("pattern", "instance").distinct()
+    # Places are counted as well: where all are the pattern's own nothing is left, whatever the sums are rounded to.
+    return (
+        held.join(of_all, "instance")
+        .join(own, ["pattern", "instance", "kind"], "left")
+        .filter(F.col("n") > F.coalesce("n_own", F.lit(0)))
+        .select("pattern", "instance", "kind", (1 - F.exp(F.col("all") - F.coalesce("own", F.lit(0.0)))).alias("score"))
     )
 
 

@@ -160,6 +160,26 @@ def test_contexts_of_seeds_discover_identifiers(spark):
     assert pii.mask_documents(docs).columns == docs.columns
 
 
+@pytest.mark.parametrize("seeds", [20, 34])
+def test_a_phrase_with_few_seeds_is_not_trusted(spark, seeds):
+    """10 to 20 % seeds, with one phrase around a word and with two that hold the same words."""
+    mails = [f"u{i}@mail{i}.example.com" for i in range(seeds)]
+    words = mails + [f"order{i}" for i in range(170 - seeds)]
+    for phrases in (["Please quote number {} to us"], ["Please quote number {} to us", "we sent out {} by post"]):
+        docs = docs_of(spark, [p.format(w) for w in words for p in phrases])
+        assert pii.confident_patterns(pii.scan(pii.id_and_text(docs, "doc_id", "text"))).count() == 0
+        assert all(r["n_discovered"] == 0 for r in pii.personal_data(docs).collect())
+
+
+def test_other_places_vouch_for_a_phrase(spark):
+    """Half the words of a phrase are seeds, the others stand where a trusted phrase holds them too."""
+    mails = [f"u{i}@mail{i}.example.com" for i in range(60)]
+    hidden = [f"u{i}(at)mail{i}" for i in range(8)]
+    texts = [f"please mail to: {w} now" for w in mails + hidden] + [f"they wrote as {w} today" for w in mails[:8] + hidden]
+    found = pii.confident_patterns(pii.scan(pii.id_and_text(docs_of(spark, texts), "doc_id", "text"))).collect()
+    assert sorted(map(tuple, found)) == [(p, "email") for p in ("as _ today", "mail to _", "to _ now", "wrote as _")]
+
+
 def brute_counts(text):
     words = [w for w in re.findall(r"[^\x20\x09-\x0D]+", text)]
     windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]

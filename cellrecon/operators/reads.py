@@ -222,10 +222,22 @@ def _spread(entries: DataFrame, by: Sequence[str], outsize: DataFrame) -> DataFr
 
 
 def entries_to_maps(
-    entries: DataFrame, key: str, value: str, outsize: DataFrame | None = None
+    entries: DataFrame,
+    key: str,
+    value: str,
+    outsize: DataFrame | None = None,
+    parts: int | None = None,
 ) -> DataFrame:
-    """``row_key, part, data``: entries gathered into one map per key and part."""
+    """``row_key, part, data``: entries gathered into one map per key and part.
+
+    With ``parts`` every key is dealt over that many, whatever its size; else only those of ``outsize`` are.
+    """
     data = _map_of(key, value).alias("data")
+    if parts is not None:
+        if parts < 1:
+            raise ValueError("a map has at least one part")
+        dealt = entries.withColumn("part", F.pmod(F.xxhash64(key), F.lit(parts)).cast("int"))
+        return dealt.groupBy("row_key", "part").agg(data)
     if outsize is None:
         return _in_one_part(entries.groupBy("row_key").agg(data))
     return _spread(entries, [key], outsize).groupBy("row_key", "part").agg(data)
@@ -265,12 +277,16 @@ def read_dynamic_family(
     declared: Sequence[str] = (),
     max_entries: int | None = MAX_ENTRIES,
     decode: Decode | None = None,
+    parts: int | None = None,
 ) -> DataFrame:
-    """``row_key, part, data map<string,T>``: newest values of a family by qualifier."""
+    """``row_key, part, data map<string,T>``: newest values of a family by qualifier.
+
+    ``parts`` deals every key over so many rows instead of the outsize ones only.
+    """
     cells = _undeclared(cells, family, declared)
     entries = family_entries(cells, family)
-    outsize = _outsize_keys(entries, cells, max_entries)
-    return entries_to_maps(_decoded(entries, decode), "qualifier", "value", outsize)
+    outsize = None if parts is not None else _outsize_keys(entries, cells, max_entries)
+    return entries_to_maps(_decoded(entries, decode), "qualifier", "value", outsize, parts)
 
 
 def read_dynamic_versions(

@@ -8,6 +8,7 @@ key leave their rows where the join needs them, so a diff of two reads shuffles
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -271,11 +272,28 @@ def count_mismatch_join(counts1: DataFrame, counts2: DataFrame) -> DataFrame:
 def detail_lookup_join(mismatches: DataFrame, maps1: DataFrame, maps2: DataFrame) -> DataFrame:
     """``rowkey, part, Table_Cluster1, Table_Cluster2``: both sides' content of mismatched keys.
 
-    The maps come from ``read_dynamic_family``. Keys spread over parts are matched part by part; a
-    part that one side lacks has a null there.
+    The maps come from ``read_dynamic_family``. Keys spread over parts on either side are dealt anew by
+    the larger number of parts, so that a qualifier is in the same part on both; a part that one side
+    lacks has a null there.
     """
     keys = mismatches.select(F.col("rowkey1").alias("row_key"))
-    return _pair_maps(*[m.join(keys, "row_key", "left_semi") for m in (maps1, maps2)])
+    maps = [m.join(keys, "row_key", "left_semi") for m in (maps1, maps2)]
+    # Of maps in one part Spark knows that this is empty without reading them.
+    further = reduce(DataFrame.union, [m.filter("part > 0").select("row_key", "part") for m in maps])
+    if further.isEmpty():
+        return _pair_maps(*maps)
+    spread = written(
+        further.groupBy("row_key").agg((F.max("part") + 1).alias("_parts")), "spread-keys"
+    )
+
+    def aligned(m: DataFrame) -> DataFrame:
+        entries = m.join(spread, "row_key", "left_semi").select(
+            "row_key", F.explode("data").alias("qualifier", "value")
+        )
+        whole = m.join(spread, "row_key", "left_anti").select("row_key", "part", "data")
+        return whole.union(entries_to_maps(entries, "qualifier", "value", spread))
+
+    return _pair_maps(*map(aligned, maps))
 
 
 def _pair_maps(maps1: DataFrame, maps2: DataFrame) -> DataFrame:
@@ -287,25 +305,32 @@ def _pair_maps(maps1: DataFrame, maps2: DataFrame) -> DataFrame:
 
 
 def diff_by_cell_count(
-    cells1: DataFrame, cells2: DataFrame, family: str, max_entries: int | None = MAX_ENTRIES
+    cells1: DataFrame,
+    cells2: DataFrame,
+    family: str,
+    max_entries: int | None = MAX_ENTRIES,
+    parts: int | None = None,
 ) -> DataFrame:
     """Keys on both sides whose number of columns in a family differs, with both contents as maps.
 
     The mismatched keys are written out first. Usually they are few; Spark then broadcasts them and
-    drops all other cells as it scans. Their counts also tell which keys need several parts. Changed
+    drops all other cells as it scans. The larger of a key's counts also tells how many parts it takes, the
+    same on both sides, so that a qualifier is in the same document; ``parts`` sets one number for all keys. Changed
     values under an equal count and keys on one side only are not reported here; :func:`diff_cells`
     reports everything.
     """
     of_family = [c.filter(F.col("family") == family) for c in (cells1, cells2)]
     counts = [cells_per_row(c) for c in of_family]
     mismatches = written(count_mismatch_join(*counts), "mismatches")
+    keys = mismatches.select(
+        F.col("rowkey1").alias("row_key"), F.greatest("count1", "count2").alias("count")
+    )
+    outsize = None if max_entries is None or parts is not None else parts_of(keys, max_entries)
+    if outsize is not None and outsize.isEmpty():
+        outsize = None
 
     def maps(n: int) -> DataFrame:
-        keys = mismatches.select(F.col("rowkey1").alias("row_key"), F.col(f"count{n}").alias("count"))
         entries = family_entries(of_family[n - 1].join(keys, "row_key", "left_semi"), family)
-        outsize = None if max_entries is None else parts_of(keys, max_entries)
-        if outsize is not None and outsize.isEmpty():
-            outsize = None
-        return entries_to_maps(entries, "qualifier", "value", outsize)
+        return entries_to_maps(entries, "qualifier", "value", outsize, parts)
 
     return _pair_maps(maps(1), maps(2))

@@ -95,6 +95,7 @@ def compare_discovered(
     family: str,
     options: ReadOptions = ReadOptions(),
     max_entries: int | None = MAX_ENTRIES,
+    parts: int | None = None,
 ) -> DiscoveredComparison:
     """Row counts, column counts per key, mismatched keys as documents, and every cell difference."""
     cells1, cells2 = (select_time(c, options) for c in (cells1, cells2))
@@ -102,7 +103,7 @@ def compare_discovered(
     return DiscoveredComparison(
         row_counts=compare_row_counts(*counts),
         column_counts=counts,
-        documents=diff_by_cell_count(cells1, cells2, family, max_entries),
+        documents=diff_by_cell_count(cells1, cells2, family, max_entries, parts),
         cells=diff_cells(*[family_entries(c, family) for c in (cells1, cells2)]),
     )
 

@@ -159,3 +159,28 @@ def test_count_diff_of_outsize_rows(spark):
     assert found.count() == 6
     for column, n in (("Table_Cluster1", 300), ("Table_Cluster2", 100)):
         assert found.select(F.explode(column)).count() == n
+
+
+def _part_of(documents, column):
+    """The part of each qualifier of a side, which stands in one document only."""
+    found = [(q, d["part"]) for d in documents for q in d[column] or ()]
+    assert len(found) == len(dict(found))
+    return dict(found)
+
+
+@pytest.mark.parametrize("limits", [{}, {"parts": 4}])
+def test_a_qualifier_is_in_the_same_document_on_both_sides(spark, limits):
+    def cells(n):
+        return spark.createDataFrame([("hot", "f", f"q{i}", 1, str(i)) for i in range(n)], CELLS).coalesce(1)
+
+    # Two parts against one if each side were cut by its own count.
+    one, two = cells(150), cells(90)
+    mismatch = spark.createDataFrame([("hot", 150, "hot", 90)], "rowkey1 string, count1 long, rowkey2 string, count2 long")
+    maps = [read_dynamic_family(c, "f", max_entries=100, **limits) for c in (one, two)]
+    for found in (
+        reconcile.diff_by_cell_count(one, two, "f", max_entries=100, **limits).collect(),
+        reconcile.detail_lookup_join(mismatch, *maps).collect(),
+    ):
+        assert len(found) == limits.get("parts", 2)
+        first, second = (_part_of(found, f"Table_Cluster{n}") for n in (1, 2))
+        assert len(first) == 150 and len(second) == 90 and second.items() <= first.items()

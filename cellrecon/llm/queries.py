@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cellrecon.llm import decontamination, jaccard_join, packing, pii, quality, token_counts, token_files, toxicity, url_filters, warc
 from cellrecon.llm.tables import table
 from cellrecon.llm.tokens import tokenizer_path
-from cellrecon.session import scratch_path
+from cellrecon.session import ensure_checkpoint_dir, scratch_path
 
 WORDS, BYTES = "word_bpe_49k.json", "byte_bpe_50k.json"
 #: 2024-01-01, in epoch seconds.
@@ -22,9 +22,15 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit(pieces)
 
 
+def token_cache(spark: SparkSession) -> str:
+    """The folder of stored counts: the same for all sessions where ``spark.checkpoint.dir`` is set, else for one."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.conf.get('spark.checkpoint.dir', None) or spark.sparkContext.getCheckpointDir()}/token-counts-cache"
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cache = scratch_path(spark, "token-counts")
-    return token_counts.token_counts(table(spark, sf_dir, "documents"), cache, tokenizer_path(BYTES))
+    """Counts stay in the shared folder under digests of content and tokenizer, so that a later call encodes new texts only."""
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), token_cache(spark), tokenizer_path(BYTES))
 
 
 def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:

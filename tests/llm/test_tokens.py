@@ -95,6 +95,15 @@ def test_a_stored_count_is_taken_as_it_is(spark):
     assert found == {0: 77, 1: len(direct(BYTES, "unknown"))}
 
 
+def test_the_query_reuses_what_it_has_stored(spark):
+    first = sorted(map(tuple, queries.op2_token_counts(spark, SF_DIR).collect()))
+    stored = f"{queries.token_cache(spark)}/tokenizer={token_counts.tokenizer_digest(BYTES)}"
+    n = spark.read.parquet(stored).count()
+    assert n == spark.read.parquet(stored).select("digest").distinct().count() >= len({t or "" for _, t in documents(spark)})
+    assert sorted(map(tuple, queries.op2_token_counts(spark, SF_DIR).collect())) == first
+    assert spark.read.parquet(stored).count() == n
+
+
 def check_packing(rows, texts, capacity):
     """``rows`` as (doc_id, piece, start, length, crc, sequence, offset) hold every text once, gapless."""
     expected = Counter()

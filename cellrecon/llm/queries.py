@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellrecon.llm import decontamination, jaccard_join, packing, pii, quality, token_counts, token_files, toxicity, url_filters, warc
+from cellrecon.llm import (
+    decontamination,
+    exact_dedup,
+    jaccard_join,
+    packing,
+    pii,
+    prefix_trie,
+    quality,
+    structure_repair,
+    token_counts,
+    token_files,
+    toxicity,
+    url_filters,
+    warc,
+)
 from cellrecon.llm.tables import table
 from cellrecon.llm.tokens import tokenizer_path
 from cellrecon.session import ensure_checkpoint_dir, scratch_path
@@ -110,6 +124,76 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_classes(table(spark, sf_dir, "documents"))
 
 
+def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return structure_repair.repair_digests(*structure_repair.damaged(table(spark, sf_dir, "conversations")))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = prefix_trie.paths(table(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_trie(prefix_trie.rebuilt(own))
+
+
+OP12_SQL = """
+WITH own AS (
+    SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn NULLS FIRST, sha256(length(role) || ':' || role || text)) AS turns
+    FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)
+    GROUP BY conv_id
+), bytes AS (
+    SELECT conv_id, turns, list_transform(range(1, length(CAST(conv_id AS VARCHAR)) + 1), lambda i: ascii(substr(CAST(conv_id AS VARCHAR), i, 1))) AS b FROM own
+), hashed AS (
+    SELECT conv_id, turns, xor(list_reduce(list_prepend(4294967295::UBIGINT, b), lambda crc, x:
+        list_reduce(list_prepend(xor(crc, x::UBIGINT), range(8)::UBIGINT[]), lambda r, k:
+            CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384::UBIGINT) ELSE r >> 1 END)), 4294967295::UBIGINT) % 6 AS h
+    FROM bytes
+), rebuilt AS (
+    SELECT c.conv_id, list_concat(coalesce(b.turns, [])[1:c.h], c.turns[c.h + 1:]) AS turns
+    FROM hashed c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 100
+), prefixes AS (
+    SELECT conv_id, len(turns) AS total, unnest(range(0, len(turns) + 1)) AS depth, turns FROM rebuilt
+), members AS (
+    SELECT conv_id, depth, total = depth AS ends, CASE WHEN depth > 0 THEN sha256(turns[1:depth]::VARCHAR) ELSE '' END AS node,
+           CASE WHEN depth > 1 THEN sha256(turns[1:depth - 1]::VARCHAR) WHEN depth = 1 THEN '' END AS parent,
+           CASE WHEN depth > 0 THEN length(turns[depth].text) ELSE 0 END AS points
+    FROM prefixes
+), nodes AS (
+    SELECT node, any_value(parent) AS parent, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+           (count(*) - 1) * any_value(points) AS saved,
+           sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+    FROM members GROUP BY node
+), children AS (
+    SELECT parent AS node, count(*) AS n_children FROM nodes GROUP BY parent
+), full_nodes AS (
+    SELECT n.*, coalesce(c.n_children, 0) AS n_children FROM nodes n LEFT JOIN children c USING (node)
+), above AS (
+    SELECT DISTINCT a.node AS top, b.node AS node FROM members a JOIN members b ON a.conv_id = b.conv_id AND a.depth <= b.depth
+), sums AS (
+    SELECT top AS node, sum(saved) AS saved_tokens, sum((n_children = 0)::INT) AS n_leaves
+    FROM above JOIN full_nodes USING (node) GROUP BY top
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, CAST(s.n_leaves AS BIGINT) AS n_leaves,
+       CAST(s.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM full_nodes n JOIN sums s USING (node) LEFT JOIN nodes p ON p.node = n.parent
+"""
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the documents, by a hash of their ids, are the stored snapshot, the others the batch screened against it."""
+    docs = table(spark, sf_dir, "documents")
+    half = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2, F.lit(0))
+    return exact_dedup.exact_classes([docs.where(half == k) for k in (0, 1)], scratch_path(spark, "snapshots"))
+
+
+OP13_SQL = """
+WITH texts AS (
+    SELECT doc_id, length(coalesce(text, '')) AS n, sha256(translate(coalesce(text, ''), chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '')) AS text_sha256
+    FROM documents
+)
+SELECT doc_id, first_value(doc_id) OVER best AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size,
+       first_value(doc_id) OVER best = doc_id AS kept, text_sha256
+FROM texts WINDOW best AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id)
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -123,6 +207,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_toxicity,
         op9_decontamination,
         op10_ngram_jaccard_join,
+        op11_structure_repair,
+        op12_prefix_trie,
+        op13_exact_dedup,
     )
 }
-ORACLES: dict[str, str] = {"op4_url_filters": OP4_SQL}
+ORACLES: dict[str, str] = {"op4_url_filters": OP4_SQL, "op12_prefix_trie": OP12_SQL, "op13_exact_dedup": OP13_SQL}

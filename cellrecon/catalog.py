@@ -20,7 +20,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
-from cellrecon.functions.codecs import NATIVE, RECORD, SORTABLE, Codec, builtin_codec
+from cellrecon.functions.codecs import NATIVE, RECORD, SORTABLE, Codec, builtin_codec, record_codec
 from cellrecon.functions.records import record_data_type
 
 KEY_FAMILY = "rowkey"
@@ -164,13 +164,18 @@ def _table_coder(table: Mapping) -> str:
     return CODER_NAMES.get(coder, coder)
 
 
+def _record_coder(option: str) -> str:
+    """The name of the coder for a record schema that an option holds."""
+    return f"{RECORD} {option}"
+
+
 def _column(name: str, spec: Mapping, table_coder: str, options: Mapping[str, str]) -> Column:
     if "col" not in spec:
         raise CatalogError(f"column {name!r} has no 'col'")
     if "avro" in spec:
         if spec["avro"] not in options:
             raise CatalogError(f"column {name!r}: no option {spec['avro']!r} with its schema")
-        data_type, coder = record_data_type(options[spec["avro"]]), RECORD
+        data_type, coder = record_data_type(options[spec["avro"]]), _record_coder(spec["avro"])
     elif "type" in spec:
         data_type = T.StructType.fromDDL(f"v {spec['type']}")["v"].dataType
         coder = CODER_NAMES.get(spec.get("coder"), spec.get("coder")) or table_coder
@@ -218,6 +223,7 @@ def parse_catalog(
     """
     doc = json.loads(text)
     known = {name: builtin_codec(name) for name in (NATIVE, SORTABLE, RECORD)}
+    known.update({_record_coder(name): record_codec(schema) for name, schema in (options or {}).items()})
     known.update(codecs or {})
     try:
         table, rowkey, specs = doc["table"], doc["rowkey"], doc["columns"]

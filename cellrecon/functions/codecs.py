@@ -4,10 +4,10 @@ Three built-in coders:
 
 ``native``    big-endian fixed-width numbers, UTF-8 text, raw binary
 ``sortable``  the same widths, changed so that byte order equals value order
-``record``    nested values serialized into one cell (:mod:`cellrecon.functions.records`)
+``record``    nested values serialized into one cell (:mod:`cellrecon.functions.record_bytes`)
 
-Everything but floating point is built from Spark expressions and stays in generated code. Spark has
-no expression for the bits of a float, so those two types use Arrow batches with numpy.
+Everything but floating point and records is built from Spark expressions and stays in generated code. Spark has
+no expression for the bits of a float, so those types use Arrow batches with numpy.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cellrecon.functions.record_bytes import decode_record_bytes, encode_record_bytes
 from cellrecon.functions.records import decode_record, encode_record
 
 NATIVE = "native"
@@ -180,7 +181,7 @@ def _decode_scalar(cell: Column, dt: T.DataType, coder: str) -> Column:
     if type(dt) in _FLOAT_BYTES:
         return _float_decoder(_FLOAT_BYTES[type(dt)], sortable)(cell)
     if isinstance(dt, T.BooleanType):
-        return F.hex(F.substring(cell, 1, 1)) != "00"
+        return _of_width(cell, 1, F.hex(cell) != "00")
     if isinstance(dt, T.StringType):
         return cell.cast("string")
     if isinstance(dt, T.BinaryType):
@@ -207,7 +208,7 @@ def decode_sortable(cell: Column, dt: T.DataType) -> Column:
 _BUILTIN = {
     NATIVE: Codec(encode_native, decode_native, keys=True, composite_keys=True),
     SORTABLE: Codec(encode_sortable, decode_sortable, keys=True, composite_keys=True),
-    RECORD: Codec(encode_record, decode_record, records=True),
+    RECORD: Codec(encode_record_bytes, decode_record_bytes, records=True),
 }
 
 
@@ -215,24 +216,23 @@ def builtin_codec(name: str) -> Codec:
     return _BUILTIN[name]
 
 
-def avro_codec(schema: str) -> Codec:
-    """Record cells in Avro's binary form; needs the ``spark-avro`` package in the session.
-
-    Pass it to ``parse_catalog(codecs=...)`` under the name that the column's ``coder`` gives.
-    """
-    from pyspark.sql.avro.functions import from_avro, to_avro
-
+def record_codec(schema: str | None = None) -> Codec:
+    """Record cells in binary, by a record schema or by that of each column's type."""
     return Codec(
-        encode=lambda value, dt: to_avro(value, schema),
-        decode=lambda cell, dt: from_avro(cell, schema),
+        encode=lambda value, dt: encode_record_bytes(value, dt, schema),
+        decode=lambda cell, dt: decode_record_bytes(cell, dt, schema),
         records=True,
     )
 
 
+#: Record cells as JSON text; passed to ``parse_catalog(codecs=...)`` under the name that a column's ``coder`` gives.
+JSON_RECORDS = Codec(encode_record, decode_record, records=True)
+
+
 # ---- composite keys -----------------------------------------------------------------------------
 
 
-def _natural_width(part: KeyPart) -> int | None:
+def natural_width(part: KeyPart) -> int | None:
     if part.width is not None:
         return part.width
     if isinstance(part.data_type, T.BooleanType):
@@ -241,7 +241,7 @@ def _natural_width(part: KeyPart) -> int | None:
 
 
 def _check_parts(parts: Sequence[KeyPart], coder: str) -> list[int | None]:
-    widths = [_natural_width(p) for p in parts]
+    widths = [natural_width(p) for p in parts]
     if coder == NATIVE and any(w is None for w in widths[:-1]):
         raise ValueError("only the last part of a native composite key may vary in length")
     return widths
@@ -295,8 +295,13 @@ def decode_composite_key(
     last = len(parts) - 1
     if all(w is not None for w in widths[:-1]):
         starts = [sum(w for w in widths[:i]) + 1 for i in range(len(parts))]
+        fixed = sum(w for w in widths if w is not None)
+        length = F.octet_length(key)
+        fits = length == fixed if widths[-1] is not None else length >= fixed
+        wrong = F.raise_error(F.concat(F.lit("a key cannot have "), length.cast("string"), F.lit(" bytes")))
+        whole = F.when(key.isNull() | fits, key).otherwise(wrong.cast("binary"))
         cells = [
-            F.substring(key, start, width if width is not None else 2**31 - 1)
+            F.substring(whole, start, width if width is not None else 2**31 - 1)
             for start, width in zip(starts, widths, strict=True)
         ]
     else:
@@ -304,9 +309,11 @@ def decode_composite_key(
             f"(.{{{w}}})" if w is not None else "(.*)" if i == last else r"([^\x00]*)\x00"
             for i, w in enumerate(widths)
         ]
-        pattern, text = "(?s)^" + "".join(groups) + "$", _latin1(key)
+        pattern, text = "(?s)^" + "".join(groups) + r"\z", _latin1(key)
+        wrong = F.raise_error(F.lit("a key does not have the parts it should have"))
+        whole = F.when(text.isNull() | text.rlike(pattern), text).otherwise(wrong)
         cells = [
-            F.encode(F.regexp_extract(text, pattern, i + 1), "ISO-8859-1")
+            F.encode(F.regexp_extract(whole, pattern, i + 1), "ISO-8859-1")
             for i in range(len(parts))
         ]
     return [

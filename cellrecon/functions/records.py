@@ -2,7 +2,8 @@
 
 The stored form follows a fixed type mapping: small integers widen to int, decimals become text,
 timestamps become epoch milliseconds, maps need text keys; dates and intervals have no stored form.
-The serialization is JSON with an explicit schema (``to_json``/``from_json``).
+The serialization is binary (:mod:`cellrecon.functions.record_bytes`) or, as a form that people can read, JSON with an
+explicit schema (``to_json``/``from_json``), here.
 """
 
 from __future__ import annotations
@@ -124,9 +125,22 @@ def _from_stored(value: Column, dt: T.DataType) -> Column:
 _FIELD = "v"
 
 
+def to_stored(value: Column, dt: T.DataType) -> Column:
+    """The value in the types it is stored in."""
+    return value if stored_type(dt) == dt else _walk(value, dt, _to_stored)
+
+
+def from_stored(stored: Column, dt: T.DataType) -> Column:
+    """Inverse of :func:`to_stored`."""
+    if stored_type(dt) == dt:
+        return stored
+    # The one-element array names the value, so that it is computed once and not per field.
+    return F.get(F.transform(F.array(stored), lambda v: _walk(v, dt, _from_stored)), F.lit(0))
+
+
 def encode_record(value: Column, dt: T.DataType) -> Column:
-    """Serialize a column of any supported type into one binary cell; null stays null."""
-    stored = value if stored_type(dt) == dt else _walk(value, dt, _to_stored)
+    """Serialize a column of any supported type into one cell of JSON text; null stays null."""
+    stored = to_stored(value, dt)
     text = F.to_json(F.struct(stored.alias(_FIELD)), {"ignoreNullFields": "false"})
     return F.when(value.isNotNull(), text.cast("binary"))
 
@@ -134,8 +148,4 @@ def encode_record(value: Column, dt: T.DataType) -> Column:
 def decode_record(cell: Column, dt: T.DataType) -> Column:
     """Inverse of :func:`encode_record` for the same type."""
     schema = T.StructType([T.StructField(_FIELD, stored_type(dt))])
-    stored = F.from_json(cell.cast("string"), schema, {"mode": "FAILFAST"})[_FIELD]
-    if stored_type(dt) == dt:
-        return stored
-    # The one-element array names the parsed value, so that it is parsed once and not per field.
-    return F.get(F.transform(F.array(stored), lambda v: _walk(v, dt, _from_stored)), F.lit(0))
+    return from_stored(F.from_json(cell.cast("string"), schema, {"mode": "FAILFAST"})[_FIELD], dt)

@@ -11,14 +11,20 @@ from cellrecon.functions.records import record_data_type
 
 pytestmark = pytest.mark.usefixtures("spark")
 
-PARCEL = json.dumps(
+VOYAGE = json.dumps(
     {
         "type": "record",
-        "name": "Parcel",
+        "name": "Voyage",
         "fields": [
-            {"name": "label", "type": "string"},
-            {"name": "weight_grams", "type": ["int", "null"]},
-            {"name": "carrier", "type": ["string", "null"]},
+            {"name": "legs", "type": {"type": "array", "items": {
+                "type": "record", "name": "Leg", "fields": [
+                    {"name": "port", "type": "string"},
+                    {"name": "hours", "type": ["float", "double"]},
+                ]}}},
+            {"name": "cargo", "type": {"type": "map", "values": ["int", "long"]}},
+            {"name": "returning", "type": "boolean"},
+            {"name": "flag", "type": ["null", {"type": "enum", "name": "Flag", "symbols": ["RED", "BLUE"]}]},
+            {"name": "seal", "type": {"type": "fixed", "name": "Seal", "size": 6}},
         ],
     }
 )
@@ -89,17 +95,17 @@ def test_composite_key_and_leading_columns():
 
 
 def test_only_the_last_native_key_part_may_vary():
-    columns = {
-        "depot": {"cf": "rowkey", "col": "from", "type": "string"},
-        "distance": {"cf": "rowkey", "col": "far", "type": "double"},
-    }
-    with pytest.raises(CatalogError, match="last part"):
-        parse_catalog(catalog(columns, "from:far"))
-    columns["depot"]["length"] = "8"
-    assert parse_catalog(catalog(columns, "from:far")).key[0].width == 8
-    del columns["depot"]["length"]
-    sortable = {"version": "2.0", "tableCoder": "Phoenix"}
-    assert parse_catalog(catalog(columns, "from:far", sortable)).is_composite
+    """A part of open length is told from the next one by nothing but its place at the end."""
+    parts = {"ok": ("k1", "boolean"), "serial": ("k2", "binary"), "year": ("k3", "smallint")}
+    columns = {n: {"cf": "rowkey", "col": q, "type": t} for n, (q, t) in parts.items()}
+    for order in ("k1:k2:k3", "k2:k1:k3", "k2:k3:k1"):
+        with pytest.raises(CatalogError, match="last part"):
+            parse_catalog(catalog(columns, order))
+        sortable = {"version": "2.0", "tableCoder": "Phoenix"}
+        assert parse_catalog(catalog(columns, order, sortable)).is_composite
+    assert [k.width for k in parse_catalog(catalog(columns, "k1:k3:k2")).key] == [1, 2, None]
+    columns["serial"]["length"] = "12"
+    assert [k.width for k in parse_catalog(catalog(columns, "k2:k1:k3")).key] == [12, 1, 2]
 
 
 def test_key_without_column():
@@ -142,11 +148,14 @@ def test_custom_coder_without_composite_keys():
 
 
 def test_record_schema_by_option_name():
-    columns = {**KEY, "parcel": {"cf": "f", "col": "u", "avro": "parcel_schema"}}
-    c = parse_catalog(catalog(columns), {"parcel_schema": PARCEL})
-    assert c.column("parcel").coder == "record"
-    assert c.schema["parcel"].dataType.names == ["label", "weight_grams", "carrier"]
-    with pytest.raises(CatalogError, match="parcel_schema"):
+    columns = {**KEY, "trip": {"cf": "f", "col": "v", "avro": "voyages"}}
+    c = parse_catalog(catalog(columns), {"voyages": VOYAGE})
+    assert c.codec(c.column("trip").coder).records
+    assert c.schema["trip"].dataType.simpleString() == (
+        "struct<legs:array<struct<port:string,hours:double>>,cargo:map<string,bigint>,"
+        "returning:boolean,flag:string,seal:binary>"
+    )
+    with pytest.raises(CatalogError, match="voyages"):
         parse_catalog(catalog(columns))
 
 

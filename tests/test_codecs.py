@@ -173,6 +173,44 @@ def test_types_a_record_cannot_hold(dt):
         records.stored_type(dt)
 
 
+@pytest.mark.parametrize("decode", [codecs.decode_native, codecs.decode_sortable])
+@pytest.mark.parametrize("cell", [b"", b"\x01\x00", b"\x00\x00"])
+def test_booleans_of_another_width_fail(spark, decode, cell):
+    df = spark.createDataFrame([(bytearray(cell),)], "c binary")
+    with pytest.raises(Exception, match="bytes"):
+        df.select(decode(F.col("c"), T.BooleanType())).collect()
+    fine = spark.createDataFrame([(bytearray(b"\x07"),), (bytearray(b"\x00"),), (None,)], "c binary")
+    assert [r[0] for r in fine.select(decode(F.col("c"), T.BooleanType())).collect()] == [True, False, None]
+
+
+@pytest.mark.parametrize(
+    ("parts", "key"),
+    [
+        ([KeyPart(T.StringType()), KeyPart(T.StringType())], b"abc"),
+        ([KeyPart(T.StringType()), KeyPart(T.ShortType())], b"ab\0\1"),
+        ([KeyPart(T.StringType()), KeyPart(T.ShortType())], b"ab\0\1\2\3"),
+        ([KeyPart(T.LongType()), KeyPart(T.IntegerType())], b"\0" * 15),
+        ([KeyPart(T.LongType()), KeyPart(T.IntegerType())], b"\0" * 11),
+        ([KeyPart(T.ShortType()), KeyPart(T.StringType())], b"\0"),
+    ],
+)
+def test_keys_of_another_make_fail(spark, parts, key):
+    df = spark.createDataFrame([(bytearray(key),)], "k binary")
+    columns = codecs.decode_composite_key(F.col("k"), parts)
+    for chosen in (columns, columns[:1], columns[1:]):
+        with pytest.raises(Exception, match="key"):
+            df.select(*[c.alias(f"p{i}") for i, c in enumerate(chosen)]).collect()
+    missing = spark.createDataFrame([(None,)], "k binary")
+    assert tuple(missing.select(*columns).first()) == (None,) * len(parts)
+
+
+def test_a_key_may_end_in_a_line_end(spark):
+    parts = [KeyPart(T.StringType()), KeyPart(T.StringType())]
+    df = spark.createDataFrame([("a\n", "b\n")], "a string, b string")
+    key = df.select(codecs.encode_composite_key([F.col("a"), F.col("b")], parts).alias("k"))
+    assert tuple(key.select(*codecs.decode_composite_key(F.col("k"), parts)).first()) == ("a\n", "b\n")
+
+
 @pytest.mark.parametrize("coder", ["PrimitiveType", "Phoenix"])
 @pytest.mark.parametrize(("kind", "width"), [("tinyint", 1), ("smallint", 2), ("int", 4), ("bigint", 8)])
 def test_integers_of_another_width_fail(spark, coder, kind, width):

@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cellrecon.functions.codecs import KeyPart, encode_sortable
+from cellrecon.functions.codecs import SORTABLE, KeyPart
+from cellrecon.operators.key_conditions import in_byte_ranges, key_between, key_byte_ranges, prefix_end
 from cellrecon.operators.scans import multi_get
 
 
@@ -37,12 +38,6 @@ def in_minus_not_in(column: str, wanted: Sequence, unwanted: Sequence) -> Column
     return F.col(column).isin([v for v in wanted if v not in dropped])
 
 
-def prefix_end(prefix: bytes) -> bytes | None:
-    """The least key greater than all keys that start with ``prefix``; None if there is none."""
-    kept = prefix.rstrip(b"\xff")
-    return kept[:-1] + bytes([kept[-1] + 1]) if kept else None
-
-
 def starts_with_bytes(column: str, prefix: bytes) -> Column:
     """Prefix test on a binary key as a key range, which sorted files can skip by."""
     end = prefix_end(prefix)
@@ -60,24 +55,10 @@ def leading_key_range(
 ) -> Column:
     """A range on the first part of a key made by the sortable coder, the other parts being open.
 
-    Keys sort by their first part, so both bounds also become bounds on the whole key, which sorted
-    files can skip by.
+    Keys sort by their first part, so both bounds become literal bounds on the whole key, which sorted
+    files can skip by, those of floating point parts too. A part without an upper bound includes NaN.
     """
-    key, condition = F.col(column), F.lit(True)
-    if low is not None:
-        bound, head = _leading_bytes(key, part, low)
-        condition = condition & (key >= bound)
-        if not low_inclusive:
-            condition = condition & (head > bound)
-    if high is not None:
-        bound, head = _leading_bytes(key, part, high)
-        condition = condition & (head <= bound if high_inclusive else key < bound)
-    return condition
-
-
-def _leading_bytes(key: Column, part: KeyPart, value) -> tuple[Column, Column]:
-    """The encoded bound and as many leading bytes of the key."""
-    bound = encode_sortable(F.lit(value).cast(part.data_type), part.data_type)
-    if part.width is None and isinstance(part.data_type, (T.StringType, T.BinaryType)):
-        bound = F.concat(bound, F.unhex(F.lit("00")))
-    return bound, F.substring(key, F.lit(1), F.octet_length(bound))
+    condition = key_between(column, low, high, low_inclusive, high_inclusive)
+    # Whatever follows makes the part one that others stand behind.
+    parts = [part, KeyPart(T.BinaryType())]
+    return in_byte_ranges(column, key_byte_ranges(parts, SORTABLE, {0: condition}))

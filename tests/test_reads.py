@@ -1,11 +1,14 @@
 from __future__ import annotations
 
 import json
+import random
+import time
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from cellrecon import ReadOptions, Restrictive, parse_catalog, read_table
+from cellrecon import ReadOptions, Restrictive, parse_catalog, read_table, write_table
 from cellrecon.operators import reads, scans
 from cellrecon.operators.predicates import in_minus_not_in, in_values, not_in_values
 
@@ -104,6 +107,28 @@ def test_newest_versions_beyond_the_rank_threshold(spark):
     assert sorted(r.ts for r in found.collect()) == list(range(4500, 6000))
 
 
+def test_many_versions_against_sorting(spark):
+    """Most rows in one cell, most of its times in one short stretch; cells with fewer, with exactly as many, and with repeated times."""
+    chance = random.Random(11)
+    data = [("hot", "f", "q", chance.randint(10**11, 10**11 + 40_000), i, str(i)) for i in range(9000)]
+    data += [("hot", "f", "q", chance.randint(0, 2 * 10**12), i, str(i)) for i in range(300)]
+    data += [("even", "f", "q", 10**12 + 3 * i, i, str(i)) for i in range(1500)]
+    data += [(f"k{i % 40}", "f", "q", chance.randint(-(10**6), 10**6), i, str(i)) for i in range(3000)]
+    cells = spark.createDataFrame(data, CELLS)
+    newest = {}
+    for key, _, _, ts, seq, value in data:
+        newest.setdefault(key, {})
+        newest[key][ts] = max(newest[key].get(ts, (-1, "")), (seq, value))
+    for n in (1200, 1500, 20_000):
+        expected = [
+            (key, "f", "q", ts, versions[ts][1])
+            for key, versions in newest.items()
+            for ts in sorted(versions, reverse=True)[:n]
+        ]
+        assert rows(scans.newest_versions(cells, n)) == sorted(expected, key=repr)
+    assert scans.newest_versions(cells.limit(0), 1500).count() == 0
+
+
 def test_cells_without_seq(cells):
     plain = scans.distinct_versions(cells)
     assert "seq" not in plain.columns
@@ -129,8 +154,8 @@ def test_regex_columns(spark, cells):
         reads.regex_entries(cells, "f", "(.)(.)")
 
 
-@pytest.mark.parametrize("max_entries", [1, 7, 100, None])
-def test_outsize_keys_are_spread_over_parts(spark, max_entries):
+@pytest.mark.parametrize("parts", [1, 7, 100])
+def test_keys_are_dealt_over_parts(spark, parts):
     cells = spark.range(1200).select(
         F.when(F.col("id") < 1000, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("row_key"),
         F.lit("f").alias("family"),
@@ -138,30 +163,86 @@ def test_outsize_keys_are_spread_over_parts(spark, max_entries):
         F.col("id").alias("ts"),
         F.col("id").alias("value"),
     )
-    found = reads.read_dynamic_family(cells, "f", max_entries=max_entries)
+    found = reads.read_dynamic_family(cells, "f", parts=parts)
     entries = found.select("row_key", F.explode("data").alias("qualifier", "value"))
     assert rows(entries) == rows(cells.select("row_key", "qualifier", "value"))
-    parts = {r.row_key: r.n for r in found.groupBy("row_key").agg(F.count("*").alias("n")).collect()}
-    if max_entries == 100:
-        assert parts["hot"] == 10
-        assert all(n == 1 for key, n in parts.items() if key != "hot")
-        assert max(r.n for r in found.select(F.size("data").alias("n")).collect()) < 200
-    if max_entries is None:
-        assert set(parts.values()) == {1}
-    nested = reads.read_dynamic_versions(cells, "f", max_entries=max_entries)
+    assert {r.part for r in found.filter("row_key = 'hot'").select("part").collect()} == set(range(parts))
+    # Whatever a key's size, a qualifier is in the same part.
+    places = found.select("part", F.explode(F.map_keys("data")).alias("q")).distinct()
+    assert places.count() == places.select("q").distinct().count()
+    assert max(r.n for r in found.select(F.size("data").alias("n")).collect()) < 2000 / parts + 30
+    nested = reads.read_dynamic_versions(cells, "f", parts=parts)
     inner = nested.select("row_key", F.explode("data").alias("q", "v"))
     assert inner.select("row_key", "q", F.explode("v")).count() == 1200
+    with pytest.raises(ValueError):
+        reads.read_dynamic_family(cells, "f", parts=0)
+
+
+@pytest.mark.parametrize("merge_first", [True, False])
+@pytest.mark.parametrize("parts", [1, 4])
+@pytest.mark.parametrize("limit", [None, 1, 3])
+def test_shapes_read_together_are_those_read_alone(spark, parts, merge_first, limit):
+    """One key has a third of the cells, one cell most of its versions; some values are missing."""
+    chance = random.Random(3)
+    data = []
+    for i in range(1500):
+        key = "hot" if i % 3 == 0 else f"k{i % 40}"
+        family, qualifier = chance.choice(["f", "f", "g"]), chance.choice(["a", "b", *(f"q{k}" for k in range(9))])
+        data.append((key, family, qualifier, chance.randint(0, 300), i, None if i % 50 == 0 else str(i)))
+    cells = spark.createDataFrame(data, CELLS)
+    columns = {
+        "id": {"cf": "rowkey", "col": "key", "type": "string"},
+        "a": {"cf": "f", "col": "a", "type": "string"},
+        "rest": {"cf": "f", "col": "", "type": "map<string,int>"},
+        "past": {"cf": "f", "col": "b", "type": "map<bigint,int>"},
+        "all": {"cf": "g", "col": "", "type": "map<string,map<bigint,string>>"},
+    }
+    catalog = parse_catalog(json.dumps({"table": {"name": "t"}, "rowkey": "key", "columns": columns}))
+    options = ReadOptions(max_versions=limit)
+    found = read_table(cells, catalog, options, parts=parts, merge_first=merge_first)
+    assert ("part" in found.columns) == (parts > 1)
+
+    def unfolded(df, *names):
+        for n in names:
+            df = df.select(*[c for c in df.columns if c != n], F.explode(n).alias(f"{n}_key", "value"))
+        return rows(df)
+
+    ints = lambda v: v.cast("int")
+    rest = reads.read_dynamic_family(cells, "f", ["a", "b"], ints)
+    past = reads.read_version_map(cells, "f", "b", limit, ints)
+    every = reads.read_dynamic_versions(cells, "g", (), limit)
+    assert unfolded(found.select("id", "rest"), "rest") == unfolded(rest.select("row_key", "data"), "data")
+    assert unfolded(found.select("id", "past"), "past") == unfolded(past.select("row_key", "data"), "data")
+    inner = found.select("id", F.explode("all").alias("q", "v")).select("id", "q", F.explode("v"))
+    expected = every.select("row_key", F.explode("data").alias("q", "v")).select("row_key", "q", F.explode("v"))
+    assert rows(inner) == rows(expected)
+    alone = {r[0]: r[1] for r in rows(reads.read_latest_wide(cells, {"a": ("f", "a")}))}
+    together = found.select("id", "a").collect()
+    assert {r.id: r.a for r in together} == {k: alone.get(k) for k in {d[0] for d in data}}
+    if alone and parts > 1:
+        # A scalar is in every part, so that a filter on it drops none.
+        assert all(n == parts for k, n in Counter(r.id for r in together).items() if k in alone)
+
+
+def test_shapes_of_encoded_tables(spark):
+    columns = {
+        "id": {"cf": "rowkey", "col": "key", "type": "int"},
+        "rest": {"cf": "f", "col": "", "type": "map<string,double>"},
+        "past": {"cf": "g", "col": "b", "type": "map<bigint,boolean>"},
+        "all": {"cf": "h", "col": "", "type": "map<string,map<bigint,float>>"},
+    }
+    catalog = parse_catalog(json.dumps({"table": {"name": "t"}, "rowkey": "key", "columns": columns}))
+    data = [(i, {"x": i / 3, "y": -1.0}, {5: True, 6: False}, {"q": {1: 0.5}, "r": {2: 1.5, 3: 2.5}}) for i in range(-3, 3)]
+    df = spark.createDataFrame(data, catalog.schema)
+    back = read_table(write_table(df, catalog, ts=1), catalog, ReadOptions(max_versions=None))
+    assert rows(back) == rows(df)
 
 
-def test_many_versions_of_few_columns_are_no_outsize_map(spark):
-    cells = spark.range(500).select(
-        F.lit("k").alias("row_key"),
-        F.lit("f").alias("family"),
-        F.concat(F.lit("q"), F.col("id") % 5).alias("qualifier"),
-        F.col("id").alias("ts"),
-        F.col("id").alias("value"),
-    )
-    assert [r.part for r in reads.read_dynamic_family(cells, "f", max_entries=10).collect()] == [0]
+def test_scalar_of_a_pattern_without_group(cells):
+    found = reads.read_qualifier_scalar(cells, "f", "[wxy][0-9]?")
+    assert rows(found) == [("a", "y", "1"), ("b", "y", "2")]
+    with pytest.raises(ValueError):
+        reads.read_qualifier_scalar(cells, "f", "(.)")
 
 
 CATALOG = json.dumps(
@@ -181,7 +262,7 @@ CATALOG = json.dumps(
 
 def test_read_table(cells):
     catalog = parse_catalog(CATALOG)
-    table = read_table(cells, catalog, max_entries=None)
+    table = read_table(cells, catalog)
     assert table.schema.names == ["y", "id", "rest", "z", "history"]
     assert table.schema["y"].dataType.simpleString() == "int"
     found = {r.id: r for r in table.collect()}
@@ -203,7 +284,7 @@ def test_read_table_prunes_to_the_requested_columns(cells):
     family = ReadOptions(restrictive=Restrictive.FAMILY)
     assert rows(read_table(cells, catalog, family, columns=["id", "y"])) == [("a", 1), ("b", 2)]
     none = ReadOptions(restrictive=Restrictive.NONE)
-    found = read_table(cells, catalog, none, columns=["id", "history"], max_entries=None)
+    found = read_table(cells, catalog, none, columns=["id", "history"])
     assert rows(found) == [("a", {20: "newest"}), ("b", None), ("c", None)]
 
 
@@ -262,6 +343,25 @@ def test_ties_without_a_sequence_go_to_the_greater_value(spark):
         assert [r.value for r in scans.latest_cells(df).collect()] == ["b"]
 
 
+def test_texts_in_lists_are_taken_literally(spark):
+    odd = ["a'b", "a\\b", "`", "%", "", "é\n", "a\\'", "${x}"]
+    df = spark.createDataFrame([("k", "f'", q, 1, "v") for q in [*odd, "a", "b"]], "row_key string, family string, qualifier string, ts bigint, value string")
+    assert sorted(r.qualifier for r in scans.project_columns(df, [("f'", q) for q in odd]).collect()) == sorted(odd)
+    assert scans.project_columns(df, []).count() == scans.project_families(df, []).count() == 0
+    columns = {f"c`{i}": ("f'", odd[i % len(odd)]) for i in range(60)}
+    assert set(reads.read_latest_wide(df, columns).collect()[0][1:]) == {"v"}
+
+
+def test_planning_of_wide_catalogs(spark):
+    columns = {f"c{i}": (f"f{i % 300}", f"q{i}") for i in range(2000)}
+    df = spark.createDataFrame([("k", "f1", "q1", 1, "x")], "row_key string, family string, qualifier string, ts bigint, value string")
+    reads.read_latest_wide(df, {n: columns[n] for n in list(columns)[:60]})
+    started = time.time()
+    reads.read_latest_wide(df, columns)
+    scans.project_columns(df, columns.values())
+    assert time.time() - started < 3
+
+
 def test_wide_catalogs(spark):
     columns = {f"c{i}": (f"f{i % 300}", f"q{i}") for i in range(2000)}
     wanted = [("k", f"f{i % 300}", f"q{i}", 1, str(i)) for i in range(0, 2000, 7)] + [("k", "f1", "other", 1, "x")]

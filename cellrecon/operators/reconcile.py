@@ -1,28 +1,28 @@
 """Reconciliation: where two copies of a table differ.
 
 Keys are unique and never null in a keyed table, and so in everything the typed reads return; the
-joins rely on that. ``check_keys=True`` verifies it for tables from elsewhere. Reads that group by
-key leave their rows where the join needs them, so a diff of two reads shuffles nothing again.
+joins rely on that. ``check_keys=True`` verifies it for tables from elsewhere. A diff of two reads of
+tables with plain keys shuffles nothing again, as reads that group by key leave their rows where the join
+needs them. Of cell tables, plain or encoded, both sides can be aggregated together in one shuffle instead, and
+compared as they are stored (``diff_family``, ``diff_encoded_tables`` and the functions beside them).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellrecon.operators.reads import (
-    MAX_ENTRIES,
-    cells_per_row,
-    entries_to_maps,
-    family_entries,
-    parts_of,
-)
+from cellrecon.catalog import Catalog
+from cellrecon.operators.reads import key_columns, read_latest_wide, restrict, value_decoder
+from cellrecon.operators.scans import select_time
+from cellrecon.options import ReadOptions
 from cellrecon.session import written
+from cellrecon.sources.cells import CELL
 
-# The texts of the Diff column.
+# The texts and the name of the Diff column, and the names of a document's two maps
+# (Table_Cluster1, Table_Cluster2).
 ONLY_IN_1 = "New row in DataFrame 1"
 ONLY_IN_2 = "New row in DataFrame 2"
 DIFF = "Diff"
@@ -272,28 +272,12 @@ def count_mismatch_join(counts1: DataFrame, counts2: DataFrame) -> DataFrame:
 def detail_lookup_join(mismatches: DataFrame, maps1: DataFrame, maps2: DataFrame) -> DataFrame:
     """``rowkey, part, Table_Cluster1, Table_Cluster2``: both sides' content of mismatched keys.
 
-    The maps come from ``read_dynamic_family``. Keys spread over parts on either side are dealt anew by
-    the larger number of parts, so that a qualifier is in the same part on both; a part that one side
-    lacks has a null there.
+    The maps come from ``read_dynamic_family`` with the same number of parts, so that a qualifier is in the same
+    part on both sides; a part that one side lacks has a null there.
     """
     keys = mismatches.select(F.col("rowkey1").alias("row_key"))
-    maps = [m.join(keys, "row_key", "left_semi") for m in (maps1, maps2)]
-    # Of maps in one part Spark knows that this is empty without reading them.
-    further = reduce(DataFrame.union, [m.filter("part > 0").select("row_key", "part") for m in maps])
-    if further.isEmpty():
-        return _pair_maps(*maps)
-    spread = written(
-        further.groupBy("row_key").agg((F.max("part") + 1).alias("_parts")), "spread-keys"
-    )
-
-    def aligned(m: DataFrame) -> DataFrame:
-        entries = m.join(spread, "row_key", "left_semi").select(
-            "row_key", F.explode("data").alias("qualifier", "value")
-        )
-        whole = m.join(spread, "row_key", "left_anti").select("row_key", "part", "data")
-        return whole.union(entries_to_maps(entries, "qualifier", "value", spread))
-
-    return _pair_maps(*map(aligned, maps))
+    # The semi-join moves below the aggregation that builds the maps.
+    return _pair_maps(*[m.join(keys, "row_key", "left_semi") for m in (maps1, maps2)])
 
 
 def _pair_maps(maps1: DataFrame, maps2: DataFrame) -> DataFrame:
@@ -304,33 +288,234 @@ def _pair_maps(maps1: DataFrame, maps2: DataFrame) -> DataFrame:
     )
 
 
-def diff_by_cell_count(
+# ---- both sides in one aggregation --------------------------------------------------------------
+
+
+def _tagged_union(cells1: DataFrame, cells2: DataFrame) -> DataFrame:
+    """Cells of both sides with a column ``_side``."""
+    sides = [c.withColumn("_side", F.lit(n)) for n, c in ((1, cells1), (2, cells2))]
+    return sides[0].unionByName(sides[1])
+
+
+def _newest(side: int, order: Column, condition: Column | None = None) -> Column:
+    """The newest value among one side's cells."""
+    here = F.col("_side") == side if condition is None else (F.col("_side") == side) & condition
+    return F.max_by(F.col("value"), F.when(here, order))
+
+
+def latest_of_sides(cells1: DataFrame, cells2: DataFrame, by: Sequence[str]) -> DataFrame:
+    """``by``, ``in_1, value1, in_2, value2``: the newest value of each group on either side.
+
+    Both sides move together, once, after each map task has merged the versions and both sides of a
+    group to one row; nothing is joined, and a key with most of the cells is no burden.
+    """
+    order = F.struct("ts", "seq" if "seq" in cells1.columns else "value")
+    aggregates = [
+        column
+        for n in (1, 2)
+        for column in (F.bool_or(F.col("_side") == n).alias(f"in_{n}"), _newest(n, order).alias(f"value{n}"))
+    ]
+    return _tagged_union(cells1, cells2).groupBy(*by).agg(*aggregates)
+
+
+def _of_family(cells: DataFrame, family: str, declared: Sequence[str]) -> DataFrame:
+    cells = cells.filter(F.col("family") == family)
+    return cells.filter(~F.col("qualifier").isin(list(declared))) if declared else cells
+
+
+def diff_family(cells1: DataFrame, cells2: DataFrame, family: str, declared: Sequence[str] = ()) -> DataFrame:
+    """The rows of :func:`diff_cells` for the newest values of a family, from one aggregation of both sides."""
+    pairs = latest_of_sides(*[_of_family(c, family, declared) for c in (cells1, cells2)], ["row_key", "qualifier"])
+    diff = (
+        F.when(~F.col("in_1"), ONLY_IN_2)
+        .when(~F.col("in_2"), ONLY_IN_1)
+        .when(~F.col("value1").eqNullSafe(F.col("value2")), "value ")
+    )
+    return pairs.select("row_key", "qualifier", "value1", "value2", diff.alias(DIFF)).filter(F.col(DIFF).isNotNull())
+
+
+def count_mismatches(cells1: DataFrame, cells2: DataFrame) -> DataFrame:
+    """The rows of :func:`count_mismatch_join` over both sides' columns per key, without joining the sides.
+
+    A column is merged over both sides first and then counts for each side that has it, in partial sums.
+    """
+    columns = _tagged_union(*[c.select(*CELL) for c in (cells1, cells2)]).groupBy(*CELL).agg(
+        *[F.bool_or(F.col("_side") == n).alias(f"in_{n}") for n in (1, 2)]
+    )
+    counts = columns.groupBy("row_key").agg(*[F.count_if(f"in_{n}").alias(f"count{n}") for n in (1, 2)])
+    found = counts.filter("count1 > 0 AND count2 > 0 AND count1 <> count2")
+    key = F.col("row_key")
+    return found.select(key.alias("rowkey1"), "count1", key.alias("rowkey2"), "count2")
+
+
+def diff_by_cell_count(cells1: DataFrame, cells2: DataFrame, family: str, parts: int = 1) -> DataFrame:
+    """Keys on both sides whose number of columns in a family differs, with both contents as maps.
+
+    ``rowkey, part, Table_Cluster1, Table_Cluster2``; every key is dealt over ``parts`` rows, both sides alike,
+    so that a qualifier is in the same document. The mismatched keys are written out first. Usually they are few;
+    Spark then broadcasts them and drops all other cells as it scans. Changed values under an equal count
+    and keys on one side only are not reported here; :func:`diff_family` reports everything.
+    """
+    if parts < 1:
+        raise ValueError("a document has at least one part")
+    of_family = [_of_family(c, family, ()) for c in (cells1, cells2)]
+    keys = written(count_mismatches(*of_family), "mismatches").select(F.col("rowkey1").alias("row_key"))
+    narrow = [c.join(keys, "row_key", "left_semi") for c in of_family]
+    pairs = latest_of_sides(*narrow, ["row_key", "qualifier"])
+    part = F.pmod(F.xxhash64("qualifier"), F.lit(parts)).cast("int").alias("part")
+    entries = [F.when(F.col(f"in_{n}"), F.struct("qualifier", f"value{n}")) for n in (1, 2)]
+    gathered = pairs.groupBy(F.col("row_key").alias("rowkey"), part).agg(
+        *[F.collect_list(e).alias(f"_{n}") for n, e in ((1, entries[0]), (2, entries[1]))]
+    )
+    maps = [F.when(F.size(f"_{n}") > 0, F.map_from_entries(f"_{n}")).alias(f"Table_Cluster{n}") for n in (1, 2)]
+    return gathered.select("rowkey", "part", *maps)
+
+
+# ---- declared columns, compared as they are stored ----------------------------------------------
+
+
+def _stored_names(catalog: Catalog) -> dict[str, tuple[str, str]]:
+    values = catalog.value_columns
+    if any(c.is_dynamic or c.is_version_map for c in values):
+        raise ValueError("map columns are compared by diff_family")
+    return {c.name: (c.family, c.qualifier) for c in values}
+
+
+def stored_pairs(
+    cells1: DataFrame, cells2: DataFrame, catalog: Catalog, options: ReadOptions = ReadOptions()
+) -> DataFrame:
+    """Both sides' newest stored values by stored key: ``row_key, in_1, in_2``, ``_1_<name>``, ``_2_<name>``.
+
+    One aggregation of both sides, see :func:`latest_of_sides`; keys and values are the stored ones, nothing is decoded.
+    """
+    names = _stored_names(catalog)
+    narrow = [restrict(select_time(c, options), names.values(), options.restrictive) for c in (cells1, cells2)]
+    order = F.struct("ts", "seq" if "seq" in cells1.columns else "value")
+    values = [
+        _newest(n, order, (F.col("family") == f) & (F.col("qualifier") == q)).alias(f"_{n}_{name}")
+        for n in (1, 2)
+        for name, (f, q) in names.items()
+    ]
+    present = [F.bool_or(F.col("_side") == n).alias(f"in_{n}") for n in (1, 2)]
+    return _tagged_union(*narrow).groupBy("row_key").agg(*present, *values)
+
+
+def joined_stored_pairs(
+    cells1: DataFrame, cells2: DataFrame, catalog: Catalog, options: ReadOptions = ReadOptions()
+) -> DataFrame:
+    """The same by a join on the stored keys: each side moves once, or not at all where both are bucketed by key."""
+    names = _stored_names(catalog)
+    sides = []
+    for n, cells in ((1, cells1), (2, cells2)):
+        side = read_latest_wide(select_time(cells, options), names, options.restrictive)
+        sides.append(side.select(*[F.col(c).alias(f"_{n}_{c}") for c in side.columns]))
+    joined = sides[0].join(sides[1], F.col("_1_row_key") == F.col("_2_row_key"), "full_outer")
+    return joined.select(
+        F.coalesce("_1_row_key", "_2_row_key").alias("row_key"),
+        *[F.col(f"_{n}_row_key").isNotNull().alias(f"in_{n}") for n in (1, 2)],
+        *[F.col(f"_{n}_{name}") for n in (1, 2) for name in names],
+    )
+
+
+def differing_pairs(pairs: DataFrame, catalog: Catalog, null_safe: bool = True) -> DataFrame:
+    """Typed rows of :func:`stored_pairs` that differ: keys, ``_1_<name>``, ``_2_<name>``, ``in_1, in_2`` and ``Diff``.
+
+    Pairs with the same bytes have the same values, so these go first; only the rest is decoded, and
+    compared once more, as one value may be stored in two ways.
+    """
+    names = list(_stored_names(catalog))
+    same = F.col("in_1") & F.col("in_2")
+    for name in names:
+        same = same & F.col(f"_1_{name}").eqNullSafe(F.col(f"_2_{name}"))
+    changed = pairs.filter(~same)
+    decode, keys = value_decoder(catalog, pairs.schema, "_1_" + names[0] if names else None), key_columns(catalog, pairs)
+    typed = changed.select(
+        *keys,
+        "in_1",
+        "in_2",
+        *[decode(F.col(f"_{n}_{c}"), catalog.column(c)).alias(f"_{n}_{c}") for n in (1, 2) for c in names],
+    )
+    texts = F.concat_ws("", *[F.when(_differs(c, null_safe), f"{c} ") for c in _in_table_order(catalog, names)])
+    diff = F.when(~F.col("in_1"), ONLY_IN_2).when(~F.col("in_2"), ONLY_IN_1).otherwise(texts)
+    return typed.withColumn(DIFF, diff).filter(F.col(DIFF) != "")
+
+
+def _in_table_order(catalog: Catalog, names: Sequence[str]) -> list[str]:
+    return [c.name for c in catalog.columns if c.name in names]
+
+
+def stored_diff_rows(differing: DataFrame, catalog: Catalog) -> DataFrame:
+    """The rows of :func:`diff_tables` from :func:`differing_pairs`."""
+    picked = [
+        F.col(c.name)
+        if c.is_key
+        else F.when(F.col("in_1"), F.col(f"_1_{c.name}")).otherwise(F.col(f"_2_{c.name}")).alias(c.name)
+        for c in catalog.columns
+    ]
+    return differing.select(*picked, DIFF)
+
+
+def stored_diff_columns(differing: DataFrame, catalog: Catalog) -> DataFrame:
+    """The rows of :func:`diff_columns` from :func:`differing_pairs`."""
+    keys = [c.name for c in catalog.key]
+    both = differing.filter("in_1 AND in_2").select(
+        *[F.col(k).alias(f"_1_{k}") for k in keys], *[c for c in differing.columns if c[:3] in ("_1_", "_2_")]
+    )
+    return both.select(*differing_columns(keys, [c.name for c in catalog.columns]))
+
+
+def stored_diff_counts(pairs: DataFrame) -> list[Column]:
+    """Aggregates over :func:`stored_pairs`: ``rows1, rows2, only_in_1, only_in_2, both``."""
+    one, two = F.col("in_1"), F.col("in_2")
+    return [
+        F.count_if(one).alias("rows1"),
+        F.count_if(two).alias("rows2"),
+        F.count_if(one & ~two).alias("only_in_1"),
+        F.count_if(two & ~one).alias("only_in_2"),
+        F.count_if(one & two).alias("both"),
+    ]
+
+
+def diff_encoded_tables(
     cells1: DataFrame,
     cells2: DataFrame,
-    family: str,
-    max_entries: int | None = MAX_ENTRIES,
-    parts: int | None = None,
+    catalog: Catalog,
+    options: ReadOptions = ReadOptions(),
+    null_safe: bool = True,
+    join: bool = False,
 ) -> DataFrame:
-    """Keys on both sides whose number of columns in a family differs, with both contents as maps.
+    """:func:`diff_tables` of two cell tables with the same catalog, decoded late.
 
-    The mismatched keys are written out first. Usually they are few; Spark then broadcasts them and
-    drops all other cells as it scans. The larger of a key's counts also tells how many parts it takes, the
-    same on both sides, so that a qualifier is in the same document; ``parts`` sets one number for all keys. Changed
-    values under an equal count and keys on one side only are not reported here; :func:`diff_cells`
-    reports everything.
+    Stored keys meet and stored values are compared; only rows that differ are decoded. Both sides are aggregated
+    together, or, with ``join``, joined by key, which moves nothing where both tables are bucketed by it.
     """
-    of_family = [c.filter(F.col("family") == family) for c in (cells1, cells2)]
-    counts = [cells_per_row(c) for c in of_family]
-    mismatches = written(count_mismatch_join(*counts), "mismatches")
-    keys = mismatches.select(
-        F.col("rowkey1").alias("row_key"), F.greatest("count1", "count2").alias("count")
-    )
-    outsize = None if max_entries is None or parts is not None else parts_of(keys, max_entries)
-    if outsize is not None and outsize.isEmpty():
-        outsize = None
+    pairs = (joined_stored_pairs if join else stored_pairs)(cells1, cells2, catalog, options)
+    return stored_diff_rows(differing_pairs(pairs, catalog, null_safe), catalog)
 
-    def maps(n: int) -> DataFrame:
-        entries = family_entries(of_family[n - 1].join(keys, "row_key", "left_semi"), family)
-        return entries_to_maps(entries, "qualifier", "value", outsize, parts)
 
-    return _pair_maps(maps(1), maps(2))
+def diff_encoded_columns(
+    cells1: DataFrame, cells2: DataFrame, catalog: Catalog, options: ReadOptions = ReadOptions()
+) -> DataFrame:
+    """:func:`diff_columns` of two cell tables with the same catalog, decoded late."""
+    return stored_diff_columns(differing_pairs(stored_pairs(cells1, cells2, catalog, options), catalog), catalog)
+
+
+def diff_encoded_summary(
+    cells1: DataFrame, cells2: DataFrame, catalog: Catalog, options: ReadOptions = ReadOptions()
+) -> DataFrame:
+    """:func:`diff_summary` of two cell tables with the same catalog, in one aggregation of both sides."""
+    pairs = stored_pairs(cells1, cells2, catalog, options)
+    names = list(_stored_names(catalog))
+    decode, one, two = value_decoder(catalog, pairs.schema, "_1_" + names[0] if names else None), F.col("in_1"), F.col("in_2")
+    # Bytes that are equal are not decoded: their sides are taken as absent.
+    differs = F.lit(False)
+    for name in names:
+        a, b = F.col(f"_1_{name}"), F.col(f"_2_{name}")
+        apart = one & two & ~a.eqNullSafe(b)
+        typed = [decode(F.when(apart, v), catalog.column(name)) for v in (a, b)]
+        differs = differs | ~typed[0].eqNullSafe(typed[1])
+    changed = F.count_if(differs).alias("changed")
+    counts = pairs.agg(*stored_diff_counts(pairs), changed)
+    return counts.select(
+        "rows1", "rows2", "only_in_1", "only_in_2", "changed", (F.col("both") - F.col("changed")).alias("same")
+    )

@@ -17,28 +17,20 @@ from pathlib import Path
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from cellrecon.catalog import Catalog, parse_catalog
-from cellrecon.operators.reads import (
-    MAX_ENTRIES,
-    cells_per_row,
-    family_entries,
-    read_table,
-)
+from cellrecon.operators.reads import cells_per_row
 from cellrecon.operators.reconcile import (
-    DIFF,
-    ONLY_IN_1,
-    ONLY_IN_2,
     compare_row_counts,
     diff_by_cell_count,
-    diff_cells,
-    diff_row,
-    diff_text,
-    differing_columns,
-    join_sides,
-    summary_counts,
+    diff_family,
+    differing_pairs,
+    stored_diff_columns,
+    stored_diff_counts,
+    stored_diff_rows,
+    stored_pairs,
 )
 from cellrecon.operators.scans import select_time
-from cellrecon.options import ReadOptions
-from cellrecon.session import written
+from cellrecon.options import ReadOptions, Restrictive
+from cellrecon.session import scratch_scope, written
 from cellrecon.sources.cells import read_cells
 from cellrecon.sources.documents import write_diff_documents
 
@@ -67,35 +59,26 @@ def compare_declared(
 ) -> DeclaredComparison:
     """Differing rows, differing columns and totals of two copies of one table.
 
-    Both tables are read and joined once: the differing pairs are written out, and the totals are
-    observed on the way. Rows and columns then come from the pairs.
+    Both tables are read once and aggregated together: the differing pairs are written out, decoded only then, and
+    the totals are observed on the way. Rows and columns then come from the pairs.
     """
-    table1, table2 = (read_table(c, catalog, options) for c in (cells1, cells2))
-    key, columns = [c.name for c in catalog.key], table1.columns
-    joined = join_sides(table1, table2, key, "full_outer")
-    diff = joined.select("*", diff_text(key, columns, null_safe).alias(DIFF))
     totals = Observation()
-    observed = diff.observe(totals, *summary_counts(key))
-    pairs = written(observed.filter(observed[DIFF] != ""), "differences")
-    names = ["rows1", "rows2", "only_in_1", "only_in_2", "changed", "same"]
+    pairs = stored_pairs(cells1, cells2, catalog, options)
+    observed = pairs.observe(totals, *stored_diff_counts(pairs))
+    differing = written(differing_pairs(observed, catalog, null_safe), "differences")
+    changed = differing.filter("in_1 AND in_2").count()
+    counts = {n: totals.get[n] for n in ("rows1", "rows2", "only_in_1", "only_in_2")}
+    counts |= {"changed": changed, "same": totals.get["both"] - changed}
     summary = cells1.sparkSession.createDataFrame(
-        [tuple(totals.get[n] for n in names)], ", ".join(f"{n} bigint" for n in names)
+        [tuple(counts.values())], ", ".join(f"{n} bigint" for n in counts)
     )
-    on_both_sides = ~pairs[DIFF].isin(ONLY_IN_1, ONLY_IN_2)
     return DeclaredComparison(
-        rows=pairs.select(*diff_row(pairs, key, columns)),
-        columns=pairs.filter(on_both_sides).select(*differing_columns(key, columns)),
-        summary=summary,
+        rows=stored_diff_rows(differing, catalog), columns=stored_diff_columns(differing, catalog), summary=summary
     )
 
 
 def compare_discovered(
-    cells1: DataFrame,
-    cells2: DataFrame,
-    family: str,
-    options: ReadOptions = ReadOptions(),
-    max_entries: int | None = MAX_ENTRIES,
-    parts: int | None = None,
+    cells1: DataFrame, cells2: DataFrame, family: str, options: ReadOptions = ReadOptions(), parts: int = 1
 ) -> DiscoveredComparison:
     """Row counts, column counts per key, mismatched keys as documents, and every cell difference."""
     cells1, cells2 = (select_time(c, options) for c in (cells1, cells2))
@@ -103,8 +86,8 @@ def compare_discovered(
     return DiscoveredComparison(
         row_counts=compare_row_counts(*counts),
         column_counts=counts,
-        documents=diff_by_cell_count(cells1, cells2, family, max_entries, parts),
-        cells=diff_cells(*[family_entries(c, family) for c in (cells1, cells2)]),
+        documents=diff_by_cell_count(cells1, cells2, family, parts),
+        cells=diff_family(cells1, cells2, family),
     )
 
 
@@ -117,6 +100,13 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("--family", help="column family to compare (discovered)")
     parser.add_argument("--min-ts", type=int, help="first version time, epoch milliseconds")
     parser.add_argument("--max-ts", type=int, help="version time to stop before")
+    parser.add_argument("--timestamp", type=int, help="one exact version time, epoch milliseconds")
+    parser.add_argument(
+        "--restrictive", choices=[r.value for r in Restrictive], default=Restrictive.COLUMN.value,
+        help="which cells make a key count as a row (declared)",
+    )
+    parser.add_argument("--ignore-nulls", action="store_true", help="a value missing on one side is no difference (declared)")
+    parser.add_argument("--parts", type=int, default=1, help="documents for each mismatched key (discovered)")
     parser.add_argument("--out", required=True, help="folder for the results")
     arguments = parser.parse_args(argv)
     if arguments.mode == "declared" and not arguments.catalog:
@@ -130,18 +120,24 @@ def main(argv: Sequence[str] | None = None) -> None:
     arguments = _arguments(argv)
     spark = SparkSession.builder.appName("compare-cells").getOrCreate()
     cells1, cells2 = (read_cells(spark, p) for p in (arguments.table1, arguments.table2))
-    options = ReadOptions(min_ts=arguments.min_ts, max_ts=arguments.max_ts)
-    if arguments.mode == "declared":
-        catalog = parse_catalog(Path(arguments.catalog).read_text())
-        found = compare_declared(cells1, cells2, catalog, options)
-        found.rows.write.mode("overwrite").parquet(f"{arguments.out}/rows")
-        found.columns.write.mode("overwrite").parquet(f"{arguments.out}/columns")
-        found.summary.show()
-    else:
-        found = compare_discovered(cells1, cells2, arguments.family, options)
-        found.row_counts.show()
-        found.cells.write.mode("overwrite").parquet(f"{arguments.out}/cells")
-        write_diff_documents(found.documents, arguments.out)
+    options = ReadOptions(
+        timestamp=arguments.timestamp,
+        min_ts=arguments.min_ts,
+        max_ts=arguments.max_ts,
+        restrictive=Restrictive(arguments.restrictive),
+    )
+    with scratch_scope(spark):
+        if arguments.mode == "declared":
+            catalog = parse_catalog(Path(arguments.catalog).read_text())
+            found = compare_declared(cells1, cells2, catalog, options, null_safe=not arguments.ignore_nulls)
+            found.rows.write.mode("overwrite").parquet(f"{arguments.out}/rows")
+            found.columns.write.mode("overwrite").parquet(f"{arguments.out}/columns")
+            found.summary.show()
+        else:
+            found = compare_discovered(cells1, cells2, arguments.family, options, arguments.parts)
+            found.row_counts.show()
+            found.cells.write.mode("overwrite").parquet(f"{arguments.out}/cells")
+            write_diff_documents(found.documents, arguments.out)
 
 
 if __name__ == "__main__":

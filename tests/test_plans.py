@@ -8,8 +8,9 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from cellrecon import parse_catalog, read_table
+from cellrecon import ReadOptions, parse_catalog, read_table, write_table
 from cellrecon.operators import ranges, reads, reconcile, scans
+from cellrecon.operators.key_conditions import key_between, key_in
 from cellrecon.operators.predicates import starts_with_bytes
 from cellrecon.operators.ranges import KeyRange
 from cellrecon.sources.cells import read_cells, within_time
@@ -55,6 +56,47 @@ def no_broadcast(spark):
 
 COLUMNS = {"a": ("f", "q1"), "b": ("f", "q2")}
 
+@pytest.fixture(scope="module")
+def keyed(spark):
+    return parse_catalog(
+        json.dumps(
+            {
+                "table": {"name": "t"},
+                "rowkey": "k",
+                "columns": {
+                    "id": {"cf": "rowkey", "col": "k", "type": "bigint"},
+                    "a": {"cf": "f", "col": "q1", "type": "string"},
+                    "b": {"cf": "f", "col": "q2", "type": "string"},
+                },
+            }
+        )
+    )
+@pytest.fixture(scope="module")
+def coded(spark):
+    return parse_catalog(
+        json.dumps(
+            {
+                "table": {"name": "t", "version": "2.0", "tableCoder": "Phoenix"},
+                "rowkey": "x:i",
+                "columns": {
+                    "x": {"cf": "rowkey", "col": "x", "type": "double"},
+                    "id": {"cf": "rowkey", "col": "i", "type": "int"},
+                    "n": {"cf": "f", "col": "n", "type": "bigint"},
+                    "share": {"cf": "f", "col": "s", "type": "double"},
+                },
+            }
+        )
+    )
+POINTS = [(float(i % 5), i) for i in range(100)]
+
+
+@pytest.fixture(scope="module")
+def encoded(spark, coded, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("plans") / "encoded")
+    rows = spark.createDataFrame([(x, i, 7 * i, i / 3) for x, i in POINTS], coded.schema)
+    write_table(rows, coded, ts=F.col("id").cast("bigint")).write.parquet(path)
+    return read_cells(spark, path)
+
 
 def test_cell_filters_reach_the_scan(cells):
     wide = reads.read_latest_wide(scans.scan_time_range(cells, 100, 900), COLUMNS)
@@ -63,7 +105,7 @@ def test_cell_filters_reach_the_scan(cells):
         "GreaterThanOrEqual(ts,100)",
         "LessThan(ts,900)",
         "EqualTo(family,f)",
-        "EqualTo(qualifier,q1)",
+        "In(qualifier, [q1,q2])",
     ):
         assert part in found
 
@@ -107,10 +149,66 @@ def test_versions_are_limited_ahead_of_the_shuffle(cells):
     assert exchanges(scans.newest_versions(cells, 3, unique=True)) == 1
 
 
-def test_cell_diff_joins_without_moving_latest_cells_again(cells):
-    sides = [reads.family_entries(c, "f") for c in (cells, cells.filter("ts > 9"))]
-    diff = reconcile.diff_cells(*sides)
-    assert "SortMergeJoin" in plan(diff)
+def test_a_diff_of_cells_moves_both_sides_in_one_exchange_after_partial_aggregation(cells, keyed):
+    later = cells.filter("ts > 9")
+    diffs = [
+        reconcile.diff_family(cells, later, "f"),
+        reconcile.latest_of_sides(cells, later, ["row_key", "qualifier"]),
+        reconcile.stored_pairs(cells, later, keyed),
+        reconcile.diff_encoded_tables(cells, later, keyed),
+        reconcile.diff_encoded_columns(cells, later, keyed),
+    ]
+    for df in diffs:
+        assert exchanges(df) == 1 and "partial_max_by" in plan(df) and "Join" not in plan(df)
+    # One more for the counts themselves, of one row a task.
+    assert exchanges(reconcile.diff_encoded_summary(cells, later, keyed)) == 2
+    assert exchanges(reconcile.count_mismatches(cells, later)) == 2
+
+
+def below_join(found: str) -> str:
+    """The part of a plan that feeds its join."""
+    lines = found.splitlines()
+    at = next(i for i, line in enumerate(lines) if "Join" in line)
+    return "\n".join(lines[at:])
+
+
+def test_encoded_tables_are_joined_as_stored_and_decoded_above(coded, encoded):
+    first, second = encoded, encoded.filter("ts > 3")
+    diff = reconcile.diff_encoded_tables(first, second, coded, join=True)
+    assert exchanges(diff) == 2
+    decoders = ("conv(", "Arrow", "unhex", "raise_error")
+    assert "conv(" in plan(diff) and "ArrowEvalPython" in plan(diff)
+    assert not [d for d in decoders if d in below_join(plan(diff))]
+    one = reconcile.diff_encoded_tables(first, second, coded)
+    assert exchanges(one) == 1
+    assert sorted(map(tuple, diff.collect()), key=repr) == sorted(map(tuple, one.collect()), key=repr) != []
+
+
+def test_key_conditions_on_encoded_tables_reach_the_scan(coded, encoded):
+    ranged = read_table(encoded, coded, key_conditions=[key_between("x", -1.5, 2.25)])
+    listed = read_table(encoded, coded, key_conditions=[key_in("x", [1.0, 3.0]), key_between("id", 5, 50)])
+    for table, n in ((ranged, 1), (listed, 2)):
+        found = pushed(table)
+        assert found.count("GreaterThanOrEqual(row_key,") == found.count("LessThan(row_key,") == n
+        assert "ArrowEval" not in plan(table).split("FileScan")[-1]
+    assert {r.x for r in ranged.collect()} == {0.0, 1.0, 2.0}
+    assert {(r.x, r.id) for r in listed.collect()} == {(x, i) for x, i in POINTS if x in (1.0, 3.0) and 5 <= i < 50}
+
+
+def test_map_columns_of_all_shapes_come_from_one_scan(cells):
+    columns = {
+        "id": {"cf": "rowkey", "col": "k", "type": "bigint"},
+        "one": {"cf": "f", "col": "q1", "type": "string"},
+        "rest": {"cf": "f", "col": "", "type": "map<string,string>"},
+        "past": {"cf": "f", "col": "q2", "type": "map<bigint,string>"},
+        "all": {"cf": "g", "col": "", "type": "map<string,map<bigint,string>>"},
+    }
+    catalog = parse_catalog(json.dumps({"table": {"name": "t"}, "rowkey": "k", "columns": columns}))
+    for first, n in ((True, 2), (False, 1)):
+        table = read_table(cells, catalog, ReadOptions(max_versions=None), parts=3, merge_first=first).filter("id > 50")
+        assert plan(table).count("FileScan") == 1
+        assert exchanges(table) == n
+        assert "GreaterThan(row_key,50)" in pushed(table)
 
 
 def points(spark, n=300):

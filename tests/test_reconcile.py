@@ -1,12 +1,14 @@
 from __future__ import annotations
 
+import json
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from cellrecon import ReadOptions, Restrictive, parse_catalog, read_table, write_table
 from cellrecon.operators import reconcile
-from cellrecon.operators.reads import cells_per_row, read_dynamic_family
+from cellrecon.operators.reads import cells_per_row, family_entries, read_dynamic_family
 
 SCHEMA = "key string, age int, level string"
 CELLS = "row_key string, family string, qualifier string, ts long, value string"
@@ -137,7 +139,7 @@ def test_count_diff_reports_only_counts_on_both_sides(cell_pair):
 
 
 def test_cell_diff_reports_everything(cell_pair):
-    assert rows(reconcile.diff_cells(*cell_pair)) == [
+    assert rows(reconcile.diff_cells(*cell_pair)) == rows(reconcile.diff_family(*cell_pair, "f")) == [
         ("a", "y", "2", None, "New row in DataFrame 1"),
         ("b", "x", "3", "9", "value "),
         ("c", "x", "4", None, "New row in DataFrame 1"),
@@ -155,7 +157,7 @@ def test_count_diff_of_outsize_rows(spark):
             F.col("id").cast("string").alias("value"),
         )
 
-    found = reconcile.diff_by_cell_count(cells(300), cells(100), "f", max_entries=50)
+    found = reconcile.diff_by_cell_count(cells(300), cells(100), "f", parts=6)
     assert found.count() == 6
     for column, n in (("Table_Cluster1", 300), ("Table_Cluster2", 100)):
         assert found.select(F.explode(column)).count() == n
@@ -168,19 +170,74 @@ def _part_of(documents, column):
     return dict(found)
 
 
-@pytest.mark.parametrize("limits", [{}, {"parts": 4}])
-def test_a_qualifier_is_in_the_same_document_on_both_sides(spark, limits):
+@pytest.mark.parametrize("parts", [1, 4])
+def test_a_qualifier_is_in_the_same_document_on_both_sides(spark, parts):
     def cells(n):
         return spark.createDataFrame([("hot", "f", f"q{i}", 1, str(i)) for i in range(n)], CELLS).coalesce(1)
 
     # Two parts against one if each side were cut by its own count.
     one, two = cells(150), cells(90)
     mismatch = spark.createDataFrame([("hot", 150, "hot", 90)], "rowkey1 string, count1 long, rowkey2 string, count2 long")
-    maps = [read_dynamic_family(c, "f", max_entries=100, **limits) for c in (one, two)]
+    maps = [read_dynamic_family(c, "f", parts=parts) for c in (one, two)]
     for found in (
-        reconcile.diff_by_cell_count(one, two, "f", max_entries=100, **limits).collect(),
+        reconcile.diff_by_cell_count(one, two, "f", parts=parts).collect(),
         reconcile.detail_lookup_join(mismatch, *maps).collect(),
     ):
-        assert len(found) == limits.get("parts", 2)
+        assert len(found) == parts
         first, second = (_part_of(found, f"Table_Cluster{n}") for n in (1, 2))
         assert len(first) == 150 and len(second) == 90 and second.items() <= first.items()
+
+
+def random_cells(chance, n, keys):
+    return [
+        (
+            "hot" if i % 3 == 0 else f"k{chance.randint(0, keys)}",
+            chance.choice("fg"),
+            f"q{chance.randint(0, 5)}",
+            chance.randint(0, 20),
+            i,
+            chance.choice([None, "1", "2", "3"]),
+        )
+        for i in range(n)
+    ]
+
+
+SEQ_CELLS = "row_key string, family string, qualifier string, ts long, seq long, value string"
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_one_aggregation_gives_what_the_joins_give(spark, seed):
+    """A key with a third of the cells, missing values, keys and columns on one side only."""
+    chance = random.Random(seed)
+    one, two = (spark.createDataFrame(random_cells(chance, 300, 60), SEQ_CELLS) for _ in range(2))
+    joined = reconcile.diff_cells(*[family_entries(c, "f") for c in (one, two)])
+    assert rows(reconcile.diff_family(one, two, "f")) == rows(joined)
+    counts = reconcile.count_mismatch_join(*[cells_per_row(c) for c in (one, two)])
+    assert rows(reconcile.count_mismatches(one, two)) == rows(counts)
+
+    columns = {"id": {"cf": "rowkey", "col": "k", "type": "string"}}
+    columns |= {f"c{i}": {"cf": "f", "col": f"q{i}", "type": "int"} for i in range(3)}
+    catalog = parse_catalog(json.dumps({"table": {"name": "t"}, "rowkey": "k", "columns": columns}))
+    for options in (ReadOptions(), ReadOptions(min_ts=3, max_ts=15), ReadOptions(restrictive=Restrictive.NONE)):
+        tables = [read_table(c, catalog, options) for c in (one, two)]
+        for null_safe in (True, False):
+            expected = rows(reconcile.diff_tables(*tables, "id", null_safe=null_safe))
+            for join in (True, False):
+                found = reconcile.diff_encoded_tables(one, two, catalog, options, null_safe, join)
+                assert rows(found) == expected
+        assert rows(reconcile.diff_encoded_columns(one, two, catalog, options)) == rows(reconcile.diff_columns(*tables, "id"))
+        assert rows(reconcile.diff_encoded_summary(one, two, catalog, options)) == rows(reconcile.diff_summary(*tables, "id"))
+
+
+def test_one_value_stored_in_two_ways_is_no_difference(spark):
+    """Both zeros are one number; their bytes differ, so they are decoded and compared again."""
+    columns = {"id": {"cf": "rowkey", "col": "k", "type": "int"}, "x": {"cf": "f", "col": "x", "type": "double"}}
+    catalog = parse_catalog(json.dumps({"table": {"name": "t"}, "rowkey": "k", "columns": columns}))
+    one = spark.createDataFrame([(1, 0.0), (2, 1.0), (3, None)], catalog.schema)
+    two = spark.createDataFrame([(1, -0.0), (2, 2.0), (3, 5.0)], catalog.schema)
+    sides = [write_table(df, catalog, ts=1).withColumn("seq", F.lit(1)) for df in (one, two)]
+    more = [c.unionByName(c.limit(1).withColumns({"qualifier": F.lit("y"), "row_key": F.lit(bytearray(b"\0\0\0\3"))})) for c in sides]
+    options = ReadOptions(restrictive=Restrictive.FAMILY)
+    assert rows(reconcile.diff_encoded_tables(*more, catalog, options)) == [(2, 1.0, "x "), (3, None, "x ")]
+    assert rows(reconcile.diff_encoded_tables(*more, catalog, options, null_safe=False)) == [(2, 1.0, "x ")]
+    assert rows(reconcile.diff_encoded_summary(*more, catalog, options)) == [(3, 3, 0, 0, 2, 1)]

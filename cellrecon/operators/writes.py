@@ -10,10 +10,11 @@ therefore all a write does; :func:`upsert_cells` shows the merged state and
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cellrecon.catalog import Catalog
 from cellrecon.functions.codecs import KeyPart, encode_composite_key
@@ -209,14 +210,50 @@ def assign_presplit(cells: DataFrame, partitions: int) -> DataFrame:
     return cells.withColumn("partition", partition_of(key, splits))
 
 
-def write_presplit(cells: DataFrame, path: str, partitions: int) -> None:
-    """Create a table of sorted files, each covering a key range of about equal size.
+#: The column, and so the folder, that tells which declared range a stored file belongs to.
+KEY_RANGE = "key_range"
 
-    Ranges are cut on the full cell order, so that a single key with very many cells is spread over
-    several files too. Sorted files let key filters skip row groups.
+
+def write_presplit(
+    cells: DataFrame, path: str, partitions: int, points: Sequence | None = None, files: int | None = None
+) -> None:
+    """Create a table of sorted files, each within one of the declared key ranges.
+
+    The ranges lie between ``points``, ascending bounds of the key's type, or are the evenly split ones of
+    text and binary keys (:func:`presplit_points`); other keys have one range where no points are given. Within them rows are cut into about ``files`` (by default
+    ``partitions``) sampled stretches of the full cell order: a range with much of the table, even one key, is
+    spread over several files, a file never holds cells of two ranges, and an empty range has none. Files lie in a folder for
+    each range, which reads can be limited to; sorted files let key filters skip row groups.
     """
     if partitions <= 3:
         raise PartitionCountError("a new table needs more than three key-range partitions")
+    if points is None and not isinstance(cells.schema["row_key"].dataType, (T.StringType, T.BinaryType)):
+        assigned = cells.withColumn(KEY_RANGE, F.lit(0))
+    elif points is None:
+        assigned = assign_presplit(cells, partitions).withColumnRenamed("partition", KEY_RANGE)
+    else:
+        if len(points) != partitions - 1:
+            raise ValueError(f"{partitions} key ranges have {partitions - 1} bounds between them")
+        assigned = cells.withColumn(KEY_RANGE, partition_of(F.col("row_key"), list(points)))
+    order = [KEY_RANGE, *CELL, "ts"]
+    ordered = assigned.repartitionByRange(files or partitions, *order).sortWithinPartitions(*order)
+    ordered.write.mode("errorifexists").partitionBy(KEY_RANGE).options(**key_bloom_options()).parquet(path)
+
+
+def key_bloom_options(distinct_keys: int = 1_000_000) -> dict[str, str]:
+    """Options of a Parquet write that give each row group a Bloom filter on its keys.
+
+    ``distinct_keys`` is how many a row group is expected to have; its filter takes some ten bits for each.
+    """
+    return {
+        "parquet.bloom.filter.enabled#row_key": "true",
+        "parquet.bloom.filter.expected.ndv#row_key": str(distinct_keys),
+        "parquet.bloom.filter.adaptive.enabled": "true",
+    }
+
+
+def write_sorted(cells: DataFrame, path: str, files: int) -> None:
+    """Create a table of about ``files`` sorted files, cut by sampled keys, with Bloom filters on them."""
     order = [*CELL, "ts"]
-    ordered = cells.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
-    ordered.write.mode("errorifexists").parquet(path)
+    ordered = cells.repartitionByRange(files, *order).sortWithinPartitions(*order)
+    ordered.write.mode("errorifexists").options(**key_bloom_options()).parquet(path)

@@ -27,8 +27,8 @@ _EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
 
 def read_cells(spark: SparkSession, path: str) -> DataFrame:
-    """The cells stored as Parquet at ``path``."""
-    return spark.read.parquet(path)
+    """The cells stored as Parquet at ``path``, without the folders' own column if there are key ranges."""
+    return spark.read.parquet(path).drop("key_range")
 
 
 def epoch_millis(stamp: Column) -> Column:

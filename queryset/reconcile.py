@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from cellrecon import parse_catalog
 from cellrecon.operators import reads, reconcile
 from cellrecon.session import scratch_path
 from cellrecon.sources.documents import read_diff_documents, write_diff_documents
@@ -11,7 +12,11 @@ from queryset.registry import query
 from queryset.tables import (
     EVENTS_1,
     EVENTS_2,
+    ORDER_CATALOG,
+    ORDERS_1,
+    ORDERS_2,
     customer_sides,
+    order_cells,
     sql,
     tagged_cells,
     tagged_side,
@@ -48,6 +53,11 @@ def diff_tables_null_safe(spark, d):
     return reconcile.diff_tables(*customer_sides(spark, d), "custkey")
 
 
+def _order_pair(spark, d):
+    """Cells of both sides; they are aggregated together, and values compared before they are typed."""
+    return [order_cells(spark, d, times) for times in (ORDERS_1, ORDERS_2)]
+
+
 @query(
     "diff_columns",
     sql(
@@ -62,7 +72,7 @@ def diff_tables_null_safe(spark, d):
     ),
 )
 def diff_columns(spark, d):
-    return reconcile.diff_columns(*customer_sides(spark, d), "custkey")
+    return reconcile.diff_encoded_columns(*_order_pair(spark, d), parse_catalog(ORDER_CATALOG))
 
 
 _CHANGED = " OR ".join(f"a.{c} IS DISTINCT FROM b.{c}" for c in COLUMNS[1:])
@@ -83,7 +93,7 @@ _BOTH = "a.custkey IS NOT NULL AND b.custkey IS NOT NULL"
     ),
 )
 def diff_summary(spark, d):
-    return reconcile.diff_summary(*customer_sides(spark, d), "custkey")
+    return reconcile.diff_encoded_summary(*_order_pair(spark, d), parse_catalog(ORDER_CATALOG))
 
 
 @query(

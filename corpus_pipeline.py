@@ -1,4 +1,8 @@
-"""From raw documents to packed training sequences: each stage works on what the one before it has kept."""
+"""From raw documents to packed training sequences: each stage works on what the one before it has kept.
+
+Every stage takes an empty table to an empty one, and further columns along whatever they are called, but for the last,
+which returns pieces.
+"""
 
 from __future__ import annotations
 
@@ -13,28 +17,28 @@ from cellrecon.session import written
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules and the forest accept."""
+    """Documents that the rules and the forest accept. Null and empty texts fail the rules and go; repeated rows are judged alike."""
     return quality.keep_documents(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of copies and near copies."""
+    """One document of each group of copies and near copies; of repeated rows one stays, a text without words is a group of its own."""
     return jaccard_join.distinct_documents(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
+    """Documents without a passage of the benchmark; a null text has none."""
     return decontamination.clean_documents(docs, table(spark, sf_dir, "benchmark"))
 
 
 def personal_data_masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with personal data replaced by its kind and ``n_chars`` as it is then."""
+    """All documents, with personal data replaced by its kind and ``n_chars`` as it is then; a null text stays null."""
     masked = pii.mask_documents(docs)
     return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents' tokens and their places in sequences."""
+    """Pieces of the documents' tokens and their places in sequences; a null text is its end token alone."""
     return packing.best_fit(packing.token_pieces(docs, tokenizer_path(WORDS)))
 
 

@@ -35,7 +35,7 @@ def token_pieces(
     capacity: int = 4096,
     end_id: int = 1,
     with_ids: bool = False,
-    remembered: int = 150_000,
+    remembered: int = 300_000,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -94,7 +94,10 @@ def best_fit(pieces: DataFrame, capacity: int = 4096) -> DataFrame:
     bases = counts.select(
         "length", "_part", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("_base")
     )
-    inside = Window.partitionBy("length", "_part").orderBy(F.lit(0))
+    # In a fixed order, so that a recomputed stage gives each piece its old number.
+    named = ("doc_id", "piece", "start", "ids_crc32")
+    order = [c for c in named if c in pieces.columns] or [c for c in pieces.columns if c != "length"] or ["length"]
+    inside = Window.partitionBy("length", "_part").orderBy(*order)
     ranked = (
         fixed.withColumn("_inside", F.row_number().over(inside) - 1)
         .join(bases, ["length", "_part"])

@@ -5,6 +5,8 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
+from cellrecon.llm import memos
+
 #: A worker remembers the hashes of so many words.
 REMEMBERED = 150_000
 WIDTH = 5
@@ -21,9 +23,6 @@ class _Hashes(dict):
         return value
 
 
-_hashes = _Hashes()
-
-
 def mixed(x: np.ndarray) -> np.ndarray:
     """A well mixed image of 64-bit numbers."""
     x = (x ^ (x >> np.uint64(30))) * _MIX[0]
@@ -36,7 +35,8 @@ def shingle_set(text: str, width: int = WIDTH) -> np.ndarray:
     words = text.lower().encode().split()
     if not words:
         return np.zeros(0, np.uint64)
-    hashes = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+    known = memos.held("word hashes", _Hashes)
+    hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
     n = max(len(words) - width + 1, 1)
     found = np.zeros(n, np.uint64)
     for k in range(min(width, len(words))):

@@ -24,6 +24,8 @@ from pathlib import Path
 import numpy as np
 from tokenizers import Tokenizer
 
+from cellrecon.llm import memos
+
 #: A worker remembers so many pieces at most; rare ones met later are encoded each time.
 REMEMBERED = 400_000
 
@@ -137,11 +139,7 @@ def _kind(described: dict) -> str:
     return "whole"
 
 
-_encoders: dict[tuple[str, int], Encoder] = {}
-
-
 def encoder(path: str, remembered: int = REMEMBERED) -> Encoder:
     """One for each worker, file and bound, with what it remembers (some 300 bytes a piece)."""
-    if (path, remembered) not in _encoders:
-        _encoders[path, remembered] = Encoder(path, remembered)
-    return _encoders[path, remembered]
+    memos.start(f"tokens of {path}, {remembered}")
+    return memos.held("encoder", lambda: Encoder(path, remembered))

@@ -20,7 +20,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellrecon.llm.tables import chunks, id_and_text
+from cellrecon.llm import memos
+from cellrecon.llm.tables import chunks, id_and_text, least
 from cellrecon.session import written
 
 #: Differences in bytes at which windows are counted.
@@ -196,7 +197,8 @@ def toxicity(
     by_id = labels.groupBy(F.col("doc_id").alias("id")).agg(F.max("toxic").alias("toxic"))
     usable = by_id.filter(F.col("id").isNotNull() & F.col("toxic").isin(0, 1) & ~out)
     # Ids are drawn first, so that only the texts of those drawn move; a repeated id has its least text.
-    drawn = written(usable.orderBy(F.xxhash64("id"), "id").limit(learn_rows), "toxicity-ids")
+    hashed = usable.withColumn("at", F.xxhash64("id"))
+    drawn = written(least(hashed, "at", ["id"], learn_rows).drop("at"), "toxicity-ids")
     rows = (
         plain.join(F.broadcast(drawn), "id")
         .groupBy("id", "toxic")
@@ -208,6 +210,7 @@ def toxicity(
     model = fit(texts, toxic)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memos.start("toxicity")
         for batch in chunks(batches):
             scores = pa.array(model.scores(batch.column("text").to_pylist()), pa.float64())
             yield pa.RecordBatch.from_arrays(

@@ -19,7 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellrecon.llm.tables import chunks, id_and_text
+from cellrecon.llm import memos
+from cellrecon.llm.tables import chunks, id_and_text, least
 from cellrecon.session import written
 
 _SPACE = b" \t\n\x0b\x0c\r"
@@ -27,9 +28,14 @@ _SYMBOLS = b"#*$%&|<>"
 _UPPER = bytes(range(ord("A"), ord("Z") + 1))
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-#: Features of the forest: shares of the text, on a scale that tells few from none and many from few. What
-#: says little about quality, as length, quoted passages or numbers, is left out: odd there is not bad.
-FEATURES = ("symbols", "upper", "exclamations", "word_length")
+#: Features of the forest: shares of the text, on a scale that tells few from none and many from few, among them
+#: every count of the rules.
+FEATURES = ("symbols", "upper", "exclamations", "word_length", "dup_lines", "repeat_words", "length")
+#: What forests are grown over. A forest takes its splits from all its features alike, so one that says nothing about quality hides
+#: what the others say; which set to trust is for the labelled rows to decide.
+FEATURE_SETS = (
+    (0, 1, 2, 3), (0, 1, 2, 3, 4), (0, 1, 2, 3, 5), (0, 1, 2, 3, 4, 5), (0, 1, 2, 3, 4, 5, 6), (0,), (4,), (5,), (0, 4, 5)
+)
 
 
 def count_text(text: str) -> tuple[list[int], list[float]]:
@@ -51,6 +57,9 @@ def count_text(text: str) -> tuple[list[int], list[float]]:
         _scaled(having(_UPPER), chars),
         _scaled(having(b"!"), n),
         math.log1p(chars / max(n, 1)),
+        _scaled(dup_lines, len(lines)),
+        _scaled(repeats, n),
+        math.log1p(n),
     ]
     return [n, chars, symbols, dup_lines, repeats], features
 
@@ -76,6 +85,7 @@ def rule_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """``id``, the counts and ``features`` of every whole text; a null text has no words."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memos.start("quality")
         for batch in chunks(batches):
             found = [count_text(t) for t in batch.column("text").to_pylist()]
             columns = [pa.array([c[k] for c, _ in found], pa.int64()) for k in range(len(COUNTS))]
@@ -99,9 +109,12 @@ class Forest:
     child: list[np.ndarray]
     depth: list[np.ndarray]
     expected: float
+    columns: tuple[int, ...] | None = None
 
     def scores(self, x: np.ndarray) -> np.ndarray:
         """Between 0 and 1; the shorter the paths, the higher."""
+        if self.columns is not None:
+            x = x[:, list(self.columns)]
         total, rows = np.zeros(len(x)), np.arange(len(x))
         for feature, split, child, depth in zip(self.feature, self.split, self.child, self.depth, strict=True):
             at = np.zeros(len(x), np.int64)
@@ -184,6 +197,8 @@ def fit(
 ) -> Verdict:
     """A forest and its threshold from rows of ``rule_statistics`` with ``quality`` (1 good, 0 bad).
 
+    A forest is grown for each of ``FEATURE_SETS`` and the one whose best threshold costs least is taken.
+
     Trees draw their samples from a random ``grow_rows`` of the labelled rows, also those that fail the rules,
     the bound on what the driver holds. The threshold weighs all rows that pass them, binned by score: it rejects at
     most ``max_good_rejected`` of the good ones, and a good one counts ``good_weight`` times a bad one
@@ -191,32 +206,49 @@ def fit(
     """
     rated = labelled.filter(F.col("quality").isin(0, 1))
     usable = rated.filter(~base_failed())
-    order = F.xxhash64("id", "features")
-    drawn = rated.select("features", order.alias("at")).orderBy("at", "features").limit(grow_rows).collect()
+    drawn = least(rated.select("features", F.xxhash64("id", "features").alias("at")), "at", ["features"], grow_rows).collect()
     points = np.array([r["features"] for r in drawn]).reshape(len(drawn), len(FEATURES))
-    forest = grow_forest(points, trees, sample)
-    if forest is None:
+    forests = [grow_forest(points[:, list(c)], trees, sample) for c in FEATURE_SETS]
+    if any(f is None for f in forests):
         return Verdict(None, math.inf)
+    for f, columns in zip(forests, FEATURE_SETS, strict=True):
+        f.columns = columns
 
     def bin_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memos.start("quality")
         for batch in batches:
-            at = np.floor(forest.scores(_matrix(batch)) * bins).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column("quality"), pa.array(at)], ["quality", "bin"])
+            x, quality = _matrix(batch), batch.column("quality").to_numpy()
+            rows = []
+            for k, forest in enumerate(forests):
+                at = np.floor(forest.scores(x) * bins).astype(np.int64)
+                found, n = np.unique(quality * (bins + 1) + at, return_counts=True)
+                rows += [(k, v // (bins + 1), v % (bins + 1), c) for v, c in zip(found.tolist(), n.tolist(), strict=True)]
+            columns = [pa.array(c, t) for c, t in zip(zip(*rows), _BIN_TYPES, strict=True)] if rows else None
+            if columns:
+                yield pa.RecordBatch.from_arrays(columns, ["forest", "quality", "bin", "n"])
 
     scored = usable.select(F.col("quality").cast("int").alias("quality"), "features")
-    counts = scored.mapInArrow(bin_of, "quality int, bin int").groupBy("quality", "bin").count()
-    good, bad = np.zeros(bins + 1), np.zeros(bins + 1)
-    for r in counts.collect():  # at most two rows for each bin
-        (good if r["quality"] else bad)[r["bin"]] += r["count"]
-    if not good.sum() or not bad.sum():
+    counts = scored.mapInArrow(bin_of, "forest int, quality int, bin int, n bigint").groupBy("forest", "quality", "bin").sum("n")
+    table = np.zeros((len(forests), 2, bins + 1))
+    for r in counts.collect():  # at most two rows for each forest and bin
+        table[r["forest"], r["quality"], r["bin"]] += r["sum(n)"]
+    bad_rows, good_rows = table[0, 0].sum(), table[0, 1].sum()
+    if not good_rows or not bad_rows:
         return Verdict(None, math.inf)
-    rejected = good[::-1].cumsum()[::-1] / good.sum()
-    missed = (bad.cumsum() - bad) / bad.sum()
-    cost = np.where(rejected <= max_good_rejected, missed + good_weight * rejected, math.inf)
-    cost = np.append(cost, 1.0)  # above every score: rejects none
-    best = np.flatnonzero(cost <= cost.min() + 1e-12)
-    # Where several thresholds do the same, the one in the middle of the gap is the safest.
-    return Verdict(forest, float(best[len(best) // 2]) / bins)
+    choices = []
+    for k, (bad, good) in enumerate(table):
+        rejected = good[::-1].cumsum()[::-1] / good_rows
+        missed = (bad.cumsum() - bad) / bad_rows
+        cost = np.where(rejected <= max_good_rejected, missed + good_weight * rejected, math.inf)
+        cost = np.append(cost, 1.0)  # above every score: rejects none
+        best = np.flatnonzero(cost <= cost.min() + 1e-12)
+        # Where several thresholds do the same, the one in the middle of the gap is the safest.
+        choices.append((cost.min(), k, float(best[len(best) // 2]) / bins))
+    _, chosen, threshold = min(choices)
+    return Verdict(forests[chosen], threshold)
+
+
+_BIN_TYPES = [pa.int32(), pa.int32(), pa.int32(), pa.int64()]
 
 
 def judge(statistics: DataFrame, verdict: Verdict) -> DataFrame:
@@ -257,16 +289,20 @@ def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
 
 
 def keep_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that ``quality_rules`` keeps, with all their columns."""
-    labelled = docs.join(_least_labels(labels).withColumnRenamed("id", "_label_id"), docs[id_col] == F.col("_label_id"))
-    known = written(labelled.select(docs[id_col].alias("id"), docs[text_col].alias("text"), "quality"), "labelled")
-    one_label = rule_statistics(known, "id").join(known.select("id", "quality").distinct(), "id")
-    verdict = fit(written(one_label, "rule-statistics"))
+    """The rows of ``docs`` that ``quality_rules`` keeps, with all their columns, whatever these are called.
+
+    A null or empty text goes, as it fails the rules. Repeated rows are judged alike, each of those kept stays. A document
+    without an id or a label is judged like any other and teaches nothing. An empty table gives no rows.
+    """
+    # Statistics of all rows are stored and joined with the labels, as these may be many, and texts would have to move to meet them.
+    statistics = written(rule_statistics(docs, id_col, text_col), "rule-statistics")
+    verdict = fit(written(statistics.join(_least_labels(labels), "id"), "labelled"))
     names = docs.columns
     inner = docs.toDF(*[f"c{i}" for i in range(len(names))])
     t = f"c{names.index(text_col)}"
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memos.start("quality")
         for batch in chunks(batches):
             found = [count_text(text or "") for text in batch.column(t).to_pylist()]
             counts = np.array([c for c, _ in found], np.int64).reshape(-1, len(COUNTS))

@@ -1,10 +1,15 @@
 """Personal data: plain forms, and identifiers that only their context gives away.
 
 Plain forms are found by four patterns. They are the seeds of a bootstrap: the words around a seed make lexical
-patterns, and what else stands in such a place (any word with a digit or an ``@``) is an instance. Spark
-scores the graph of patterns and instances in rounds: a pattern is as good as the share of its
-instances that are known, by being seeds or by other places where trusted patterns hold them. Patterns that end with a high
-score and enough distinct seeds mark the instances they hold as identifiers of that kind.
+patterns, how it is spelled (its letters, digits and signs) makes another, and what else stands in such a place or is
+spelled so is an instance. Instances are words of at least four characters with a digit or an ``@``, and runs of two or three
+words with digits, which only their spelling can mark; what one of the four forms takes in full and then fails its
+test (a card number that Luhn's sum rules out) is spelled like nothing.
+
+Spark scores the graph of patterns and instances in rounds: a pattern is as good as the share of its
+instances that are known, by being seeds or by other places where trusted patterns hold them; of that share
+the lower end of its confidence interval counts, so that few instances prove little. Patterns that end with a high
+score mark the instances they hold as identifiers of that kind.
 """
 
 from __future__ import annotations
@@ -17,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cellrecon.llm import memos
 from cellrecon.llm.tables import chunks, id_and_text
 from cellrecon.session import written
 
@@ -34,7 +40,7 @@ _MENTION = re.compile(r"\S*[0-9@]\S*")
 _EDGES = " \t\n\r\x0b\x0c.,;:!?()[]{}<>\"'*#$%&|"
 
 SPANS = "array<struct<kind:string,start:bigint,end:bigint>>"
-_MENTIONS = "array<struct<start:bigint,end:bigint,instance:string,before:string,around:string,seed:string>>"
+_MENTIONS = "array<struct<start:bigint,end:bigint,instance:string,before:string,around:string,shape:string,seed:string>>"
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
@@ -64,15 +70,14 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     found = [("email", a, b) for a, b in _emails(text)] if "@" in text else []
     if _DIGIT.search(text):
         for m in _IP.finditer(text):
-            if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+            if _is_ip(m[0]):
                 found.append(("ip", *m.span()))
         for m in _CARD.finditer(text):
-            digits = m[0].replace(" ", "").replace("-", "")
-            if 12 <= len(digits) <= 19 and _luhn(digits):
+            if _is_card(m[0]):
                 found.append(("card", *m.span()))
         if "+" in text:
             for m in _PHONE.finditer(text):
-                if 9 <= len(_DIGIT.findall(m[0])) <= 15:
+                if _is_phone(m[0]):
                     found.append(("phone", *m.span()))
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0])))
 
@@ -81,26 +86,65 @@ def _word(text: str) -> str:
     return text.strip(_EDGES).lower()
 
 
+#: A longer word makes no pattern.
+_LONGEST = 40
+
+
 def _context(text: str, start: int, end: int) -> tuple[str | None, str | None]:
-    """The patterns of a place: the two words before it, and the words on both sides. White space counts as one."""
-    left = text[max(0, start - 80) : start].split()[-2:]
-    right = text[end : end + 40].split()[:1]
-    before = [_word(w) for w in left]
-    after = _word(right[0]) if right else ""
+    """The patterns of a place: the two words before it, and the words on both sides. White space counts as one.
+
+    A word of more than ``_LONGEST`` characters makes none.
+    """
+    reach = 3 * _LONGEST
+    first = max(0, start - reach)
+    left = text[first:start].split()
+    if left and first and not text[first - 1].isspace() and not text[first].isspace():
+        left[0] = ""  # only the end of a word
+    right = text[end : end + reach].split()[:1]
+    before = [_word(w) if len(w) <= _LONGEST else "" for w in left[-2:]]
+    after = _word(right[0]) if right and len(right[0]) <= _LONGEST else ""
     if not before or not before[-1]:
         return None, None
     two = f"{before[0]} {before[1]} _" if len(before) == 2 and before[0] else None
     return two, f"{before[-1]} _ {after}" if after else None
 
 
+_LETTER_RUN, _DIGIT_RUN, _SPACE_RUN = re.compile(r"[^\W\d_]+"), re.compile("[0-9]+"), re.compile(r"\s+")
+
+
+def _shape(instance: str) -> str | None:
+    """How something is spelled: a letter for each run of letters, a nine for a run of digits (with its length from five on)."""
+    if len(instance) > 100:
+        return None
+    for form, test in ((_IP, _is_ip), (_CARD, _is_card), (_PHONE, _is_phone)):
+        if form.fullmatch(instance) and not test(instance):
+            return None
+    plain = _LETTER_RUN.sub("a", _SPACE_RUN.sub(" ", instance))
+    return "spelled " + _DIGIT_RUN.sub(lambda m: "9" if len(m[0]) < 5 else f"9{{{len(m[0])}}}", plain)
+
+
+def _is_ip(text: str) -> bool:
+    return all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in text.split("."))
+
+
+def _is_card(text: str) -> bool:
+    digits = text.replace(" ", "").replace("-", "")
+    return 12 <= len(digits) <= 19 and _luhn(digits)
+
+
+def _is_phone(text: str) -> bool:
+    return 9 <= len(_DIGIT.findall(text)) <= 15
+
+
 def mentions(text: str, known: list[tuple[str, int, int]]) -> list[dict]:
-    """Words with a digit or ``@`` that no known span touches, and the known spans, each with its patterns."""
+    """The known spans, and words with a digit or ``@`` or runs of words with digits that none of them touches, each with its patterns."""
     out = []
     for kind, start, end in known:
         out.append(_mention(text, start, end, kind))
     if "@" not in text and not _DIGIT.search(text):
         return out
     spans, k = sorted((a, b) for _, a, b in known), 0
+    run: list[tuple[int, int]] = []  # the words with digits that follow each other directly, the last two
     for m in _MENTION.finditer(text):
         start, end = m.span()
         while start < end and text[start] in _EDGES:
@@ -109,11 +153,21 @@ def mentions(text: str, known: list[tuple[str, int, int]]) -> list[dict]:
             end -= 1
         while k < len(spans) and spans[k][1] <= start:
             k += 1
-        if end - start < 4 or any(a < end and b > start for a, b in spans[k : k + 8]):
+        if any(a < m.end() and b > m.start() for a, b in spans[k : k + 8]):
+            run = []
             continue
-        found = _mention(text, start, end, None)
-        if found["before"] or found["around"]:
-            out.append(found)
+        if run and text[run[-1][1] : m.start()].strip():
+            run = []
+        if end - start >= 4:
+            found = _mention(text, start, end, None)
+            if found["before"] or found["around"] or found["shape"]:
+                out.append(found)
+        for first, _ in run:
+            if 4 <= end - first <= 100:
+                several = _mention(text, first, end, None)
+                if several["shape"]:
+                    out.append(several | {"before": None, "around": None})
+        run = [*run, m.span()][-2:]
     return out
 
 
@@ -121,7 +175,8 @@ def _mention(text: str, start: int, end: int, seed: str | None) -> dict:
     before, around = _context(text, start, end)
     # A very long word is known by a digest, which only its equals share.
     instance = text[start:end] if end - start <= 100 else hashlib.sha256(text[start:end].encode()).hexdigest()
-    return {"start": start, "end": end, "instance": instance, "before": before, "around": around, "seed": seed}
+    shape = _shape(text[start:end])
+    return {"start": start, "end": end, "instance": instance, "before": before, "around": around, "shape": shape, "seed": seed}
 
 
 def _listed(spans: list[tuple[str, int, int]]) -> str:
@@ -132,6 +187,7 @@ def scan(plain: DataFrame) -> DataFrame:
     """``id, key1, key2, base, base_sha256, mentions`` of every whole text; equal keys mean equal texts."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memos.start("pii")
         for batch in chunks(batches):
             base, digests, places = [], [], []
             for text in batch.column("text").to_pylist():
@@ -158,7 +214,7 @@ def scan(plain: DataFrame) -> DataFrame:
 
 _ARROW_SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 _ARROW_MENTIONS = pa.list_(
-    pa.struct([("start", pa.int64()), ("end", pa.int64()), *((c, pa.string()) for c in ("instance", "before", "around", "seed"))])
+    pa.struct([("start", pa.int64()), ("end", pa.int64()), *((c, pa.string()) for c in ("instance", "before", "around", "shape", "seed"))])
 )
 
 
@@ -167,19 +223,21 @@ def _keys() -> list[Column]:
 
 
 def confident_patterns(
-    scanned: DataFrame, rounds: int = 3, least_seeds: int = 5, least_score: float = 0.8, doubt: float = 1.0
+    scanned: DataFrame, rounds: int = 3, least_score: float = 0.7, confidence: float = 1.64
 ) -> DataFrame:
-    """``pattern, kind`` of the patterns to trust.
+    """``pattern, kind`` of the patterns to trust. A spelling that only seeds have adds nothing and is left out.
 
-    ``doubt`` is added to the instances of each pattern as if so many had been unknown. Seeds keep their
+    A pattern's score is the share of its instances that are known, less what so few of them leave open: the
+    lower end of Wilson's interval, ``confidence`` standard deviations wide. So eight known ones of eight are
+    just enough for a score of 0.7, and of a hundred three quarters must be known. Seeds keep their
     own kind throughout. Another instance is known by its witnesses, the different places where it stands: a place is
-    as good as the better of its two patterns, and only patterns that have the seeds and the score to be trusted
+    as good as the best of its patterns, and only patterns that have the seeds and the score to be trusted
     count. For a pattern an instance is scored without the places of that pattern, so that none vouches for itself,
     nor two that hold the same places for each other; what is trusted rests on seeds alone, or on others trusted before.
     """
-    places = scanned.select(F.explode("mentions").alias("m")).select("m.instance", "m.seed", "m.before", "m.around")
+    places = scanned.select(F.explode("mentions").alias("m")).select("m.instance", "m.seed", "m.before", "m.around", "m.shape")
     # One row for each instance and pair of patterns: the same words around it again are the same witness.
-    places = written(places.groupBy("instance", "before", "around").agg(F.min("seed").alias("seed")), "pii-places")
+    places = written(places.groupBy("instance", *_PATTERNS).agg(F.min("seed").alias("seed")), "pii-places")
     edges = written(
         _by_pattern(places).groupBy("pattern", "instance").agg(F.min("seed").alias("seed")), "pii-edges"
     )
@@ -189,26 +247,38 @@ def confident_patterns(
         edges.filter("seed is not null")
         .groupBy("pattern", F.col("seed").alias("kind"))
         .agg(F.count(F.lit(1)).alias("seeds"))
-        .filter(F.col("seeds") >= least_seeds)
-        .join(totals, "pattern"),
+        .join(totals, "pattern")
+        .filter(~F.col("pattern").startswith("spelled ") | (F.col("n") > F.col("seeds"))),
         "pii-patterns",
     )
     unknown = places.filter("seed is null").drop("seed")
     trusted = None
     for _ in range(rounds + 1):
-        scores = seeded.select("pattern", "kind", (F.col("seeds") / (F.col("n") + doubt)).alias("score"))
+        scores = seeded.select("pattern", "kind", _bound(F.col("seeds"), F.col("n"), confidence).alias("score"))
         if trusted is not None:
             vouched = _vouched(unknown, trusted).groupBy("pattern", "kind").agg(F.sum("score").alias("sum"))
             scores = seeded.join(vouched, ["pattern", "kind"], "left").select(
-                "pattern", "kind", ((F.col("seeds") + F.coalesce("sum", F.lit(0.0))) / (F.col("n") + doubt)).alias("score")
+                "pattern",
+                "kind",
+                _bound(F.least(F.col("seeds") + F.coalesce("sum", F.lit(0.0)), F.col("n")), F.col("n"), confidence).alias("score"),
             )
         trusted = written(scores.filter(F.col("score") >= least_score), "pii-trusted")
     return trusted.select("pattern", "kind")
 
 
+_PATTERNS = ("before", "around", "shape")
+
+
+def _bound(known: Column, n: Column, z: float) -> Column:
+    """The lower end of Wilson's interval for ``known`` of ``n``."""
+    share = known / n
+    spread = F.sqrt(share * (1 - share) / n + z * z / (4 * n * n))
+    return (share + z * z / (2 * n) - z * spread) / (1 + z * z / n)
+
+
 def _by_pattern(places: DataFrame) -> DataFrame:
     """A row for each pattern of a place."""
-    return places.withColumn("pattern", F.explode(F.array_compact(F.array("before", "around"))))
+    return places.withColumn("pattern", F.explode(F.array_compact(F.array(*_PATTERNS))))
 
 
 def _vouched(places: DataFrame, trusted: DataFrame) -> DataFrame:
@@ -216,7 +286,7 @@ def _vouched(places: DataFrame, trusted: DataFrame) -> DataFrame:
     good = (
         _by_pattern(places)
         .join(trusted, "pattern")
-        .groupBy("instance", "before", "around", "kind")
+        .groupBy("instance", *_PATTERNS, "kind")
         .agg(F.log(F.greatest(1 - F.max("score"), F.lit(1e-6))).alias("doubt"))
     )
     of_all = good.groupBy("instance", "kind").agg(F.sum("doubt").alias("all"), F.count(F.lit(1)).alias("n"))
@@ -234,7 +304,7 @@ def _vouched(places: DataFrame, trusted: DataFrame) -> DataFrame:
 def discovered(scanned: DataFrame, patterns: DataFrame, keys: list[str]) -> DataFrame:
     """``keys`` and ``more``: the spans that trusted patterns add, for the rows that have any."""
     free = scanned.select(*keys, F.explode("mentions").alias("m")).filter("m.seed is null").select(
-        *keys, "m.start", "m.end", F.explode(F.array("m.before", "m.around")).alias("pattern")
+        *keys, "m.start", "m.end", F.explode(F.array("m.before", "m.around", "m.shape")).alias("pattern")
     )
     hits = free.filter("pattern is not null").join(patterns, "pattern").groupBy(*keys, "start", "end").agg(F.min("kind").alias("kind"))
     return hits.groupBy(*keys).agg(F.collect_list(F.struct("kind", "start", "end")).alias("more"))
@@ -296,6 +366,7 @@ def mask_documents(docs: DataFrame, text_col: str = "text", **bootstrap) -> Data
     columns = inner.columns
 
     def mask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memos.start("pii")
         for batch in chunks(batches):
             made = []
             for text, added in zip(batch.column(t).to_pylist(), batch.column("more").to_pylist(), strict=True):

@@ -42,10 +42,16 @@ def token_counts(
     spark = docs.sparkSession
     keyed = id_and_text(docs, id_col, text_col).withColumn("digest", F.unhex(F.sha2("text", 256)))
     stored = f"{cache_path}/tokenizer={tokenizer_digest(tokenizer)}"
-    _append_misses(keyed.select("digest", "text"), stored, tokenizer)
+    texts, wanted = keyed.select("digest", "text"), None
+    if _exists(spark, stored):
+        # Only the digests of this table are looked up, however much is stored; a small table is sent to the store's rows.
+        wanted = written(keyed.select("digest").distinct(), "digests")
+        misses = written(wanted.join(_cached(spark, stored, wanted), "digest", "left_anti"), "misses")
+        texts = texts.join(misses, "digest", "left_semi")
+    _append(texts, stored, tokenizer)
     # Stored once more, each digest has one row without a grouping in the join's own stage, which would
     # keep Spark from splitting a text that a third of the documents share.
-    counts = written(_cached(spark, stored), "token-counts")
+    counts = written(_cached(spark, stored, wanted), "token-counts")
     return (
         keyed.select("id", F.octet_length("text").cast("bigint").alias("n_bytes"), "digest")
         .join(counts, "digest", "left")
@@ -63,11 +69,10 @@ def tokenizer_digest(path: str) -> str:
     return hashlib.sha256(version + Path(path).read_bytes()).hexdigest()
 
 
-def _append_misses(texts: DataFrame, stored: str, tokenizer: str) -> None:
+def _append(texts: DataFrame, stored: str, tokenizer: str) -> None:
+    """Count the distinct texts and add them to the store, in files that carry the run's own id."""
     # Copies meet in the map tasks first: of a text each task sends one row, however often it comes.
     distinct = texts.groupBy("digest").agg(F.first("text").alias("text"))
-    if _exists(texts.sparkSession, stored):
-        distinct = distinct.join(_cached(texts.sparkSession, stored), "digest", "left_anti")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counted = encoder(tokenizer).count
@@ -80,8 +85,11 @@ def _append_misses(texts: DataFrame, stored: str, tokenizer: str) -> None:
     distinct.mapInArrow(count, _CACHE).write.mode("append").parquet(stored)
 
 
-def _cached(spark: SparkSession, stored: str) -> DataFrame:
+def _cached(spark: SparkSession, stored: str, wanted: DataFrame | None) -> DataFrame:
+    """One row for each stored digest, or for those of ``wanted``."""
     rows = spark.read.schema(_CACHE).parquet(stored)
+    if wanted is not None:
+        rows = rows.join(wanted, "digest", "left_semi")
     return rows.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
 
 

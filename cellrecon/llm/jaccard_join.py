@@ -25,7 +25,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from cellrecon.llm import memos
 from cellrecon.llm.shingles import minima, mixed, seeds, shingle_set
 from cellrecon.llm.tables import chunks, id_and_text
 from cellrecon.session import written
@@ -39,6 +41,7 @@ def _profiles(plain: DataFrame, runs: int, depth: int) -> DataFrame:
     orders = seeds(runs * depth)
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memos.start("shingles")
         for batch in chunks(batches):
             digests, sizes, keys = [], [], []
             for text in batch.column("text").to_pylist():
@@ -107,6 +110,7 @@ def _compare(runs: int):
     """Compares one block of a bucket, or two; gives each set its links and a member of its cluster."""
 
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        memos.start("blocks")
         n, one, two, run = len(rows), rows["one"].iloc[0], rows["two"].iloc[0], rows["run"].iloc[0]
         out = {"digest": [], "links": [], "root": []}
         sets = [np.frombuffer(b, np.uint64) for b in rows["tokens"]]
@@ -200,7 +204,7 @@ def jaccard_classes(
     ``n_links`` is the number of other documents whose sets of five-word shingles have a Jaccard similarity
     of 0.8 or more with its own, ``class_id`` the least id of those it is connected with by such links,
     ``copy_id`` the least id of those with the very same set. At least ``recall`` of the links are found, those above
-    0.8 more likely; every link that is found is exact. Words are lower-cased and cut at white space;
+    0.8 more likely, by ``runs`` runs or as many more as that takes; every link that is found is exact. Words are lower-cased and cut at white space;
     fewer than five make one shingle. A null text or one without words has no links and is its own
     class. Null and repeated ids are kept, a row for each; null is no least id unless there is no other. An empty table
     gives no rows. Other columns are ignored.
@@ -229,7 +233,8 @@ def distinct_documents(
 ) -> DataFrame:
     """One row of ``docs`` for each class of ``jaccard_classes``, that with the least id, with all its columns.
 
-    Where that id and text are repeated, one of these rows stays. Rows without words are classes of their own and stay.
+    Where that id and text are repeated, one of these rows stays. Rows without words, null texts among them, are classes
+    of their own and stay. A null id is the least only where there is no other. An empty table gives no rows.
     """
     plain = id_and_text(docs, id_col, text_col)
     profiles, of_set = _classified(plain, recall, runs, depth, small, block, block_tokens)
@@ -243,15 +248,23 @@ def distinct_documents(
         "stays", F.coalesce((F.col("key") == F.col("kept_key")) & (F.col("tkey") == F.col("kept_tkey")), F.lit(False))
     )
     # Few of the rows go, so these are what is looked up.
-    judged = judged.filter("not stays or count > 1").select("key", "tkey", "stays")
+    judged = judged.filter("not stays or count > 1").groupBy("key", "tkey").agg(F.max("stays").alias("stays"))
     judged = written(judged, "judged")
     names = docs.columns
     inner = docs.toDF(*[f"c{i}" for i in range(len(names))])
     text, own = F.coalesce(f"c{names.index(text_col)}", F.lit("")), F.col(f"c{names.index(id_col)}")
     keyed = inner.withColumn("key", _key(own)).withColumn("tkey", F.xxhash64(text))
-    single = keyed.join(judged, ["key", "tkey"], "left_anti")
-    again = keyed.join(judged.filter("stays"), ["key", "tkey"], "left_semi").dropDuplicates(["key", "tkey"])
-    return single.unionByName(again).select(*inner.columns).toDF(*names)
+    # Texts move once: repeated rows are told apart where the join has put them.
+    nth = F.row_number().over(Window.partitionBy("key", "tkey").orderBy("stays"))
+    marked = keyed.join(judged, ["key", "tkey"], "left").withColumn("nth", nth)
+    return marked.filter("stays is null or (stays and nth = 1)").select(*inner.columns).toDF(*names)
+
+
+def enough_runs(recall: float, runs: int, depth: int) -> int:
+    """``runs``, or as many more as the recall takes where all paths are as long as they may be."""
+    if not 0 <= recall < 1:
+        raise ValueError("a recall is at least 0 and below 1")
+    return max(runs, math.ceil(math.log(1 - recall) / math.log(1 - (NUM / DEN) ** depth)))
 
 
 def _key(own: F.Column) -> F.Column:
@@ -262,6 +275,7 @@ def _classified(
     plain: DataFrame, recall: float, runs: int, depth: int, small: int, block: int, block_tokens: int
 ) -> tuple[DataFrame, DataFrame]:
     """Profiles of all rows; for each set its ``members``, ``links``, ``class_id`` and the class's ``label``."""
+    runs = enough_runs(recall, runs, depth)
     profiles = written(_profiles(plain, runs, depth), "profiles")
     # A document for each set stands for all that have it.
     stand_in = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "tkey"))
@@ -317,6 +331,7 @@ def _sets(plain: DataFrame, wanted: DataFrame) -> DataFrame:
     found = texts.join(wanted.withColumn("key", known).drop("id"), ["key", "tkey"])
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memos.start("shingles")
         for batch in chunks(batches):
             made = [shingle_set(t).tobytes() for t in batch.column("text").to_pylist()]
             right = [

@@ -5,7 +5,9 @@ from __future__ import annotations
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cellrecon.llm import decontamination, jaccard_join, queries
 from cellrecon.llm.shingles import shingle_set
@@ -179,7 +181,6 @@ def test_contaminated_documents(spark):
 
 def test_no_fingerprint_within_the_radius_is_missed(spark):
     """Any two fingerprints up to the radius apart share a block up to two bits apart."""
-    from pyspark.sql import functions as F
 
     rng = random.Random(8)
     pairs = []
@@ -200,3 +201,52 @@ def test_no_fingerprint_within_the_radius_is_missed(spark):
 def test_main_path_is_native(spark):
     plan = queries.op9_decontamination(spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_fingerprints_of_more_shingles_than_sixteen_bits_count(spark):
+    rows = spark.range(200_000).select((F.col("id") % 2).alias("item"), F.xxhash64(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id"))).alias("hash"))
+    found = {r["item"]: (r["size"], r["fingerprint"]) for r in decontamination.fingerprints(rows, "item").collect()}
+    for item in (0, 1):
+        hashes = np.array([r["hash"] for r in rows.filter(F.col("item") == item).collect()], np.int64).view(np.uint64)
+        bits = [(hashes >> np.uint64(j) & np.uint64(1)).sum() * 2 > len(hashes) for j in range(64)]
+        value = sum(1 << j for j, b in enumerate(bits) if b)
+        assert found[item] == (len(hashes), value - (1 << 64) if value >= 1 << 63 else value)
+
+
+def test_runs_follow_from_the_recall(spark):
+    for recall, depth in ((0.99, 3), (0.999, 3), (0.99, 6), (0.5, 1), (0.0, 2)):
+        runs = jaccard_join.enough_runs(recall, 1, depth)
+        assert (1 - 0.8**depth) ** runs <= 1 - recall + 1e-12
+        assert jaccard_join.enough_runs(recall, 50, depth) == 50
+    docs = docs_of(spark, ["one two three four five six"] * 2)
+    assert [r["n_links"] for r in jaccard_join.jaccard_classes(docs, recall=0.9999, runs=2).collect()] == [1, 1]
+    assert jaccard_join.distinct_documents(docs.limit(0)).count() == 0
+    with pytest.raises(ValueError, match="recall"):
+        jaccard_join.jaccard_classes(docs, recall=1.0)
+
+
+def test_links_of_the_larger_table(spark):
+    """Links counted by brute force over an inverted index, on ten times the documents of the small table."""
+    rows = [(r["doc_id"], r["text"]) for r in table(spark, "/root/testdata/sf0.1", "documents").select("doc_id", "text").collect()]
+    sets = {}
+    for d, t in rows:
+        sets.setdefault(shingle_set(t or "").tobytes(), []).append(d)
+    kinds = [(np.frombuffer(k, np.uint64), ids) for k, ids in sets.items() if k]
+    holders = {}
+    for i, (shingles, _) in enumerate(kinds):
+        for s in shingles.tolist():
+            holders.setdefault(s, []).append(i)
+    expected = Counter()
+    for i, (shingles, ids) in enumerate(kinds):
+        shared = Counter()
+        for s in shingles.tolist():
+            if len(holders[s]) > 1:
+                shared.update(holders[s])
+        links = sum(
+            len(kinds[j][1]) for j, both in shared.items() if j != i and 9 * both >= 4 * (len(shingles) + len(kinds[j][0]))
+        )
+        for d in ids:
+            expected[d] = links + len(ids) - 1
+    found = {r["doc_id"]: r["n_links"] for r in queries.op10_ngram_jaccard_join(spark, "/root/testdata/sf0.1").collect()}
+    assert all(n <= expected[d] for d, n in found.items())
+    assert sum(found.values()) >= 0.99 * sum(expected.values()) > 0

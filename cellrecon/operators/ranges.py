@@ -30,6 +30,9 @@ _INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 _BOUND = ["_infinity", "_value", "_after"]
 
+#: More ranges than this are no predicate, and more filed ones (some fifty bytes each) are not broadcast.
+MOST_PREDICATES, MOST_BROADCAST = 10_000, 2_000_000
+
 
 @dataclass(frozen=True)
 class KeyRange:
@@ -211,10 +214,10 @@ def filter_by_ranges(
     """Rows whose key lies in any of the ranges, each row once. All methods find the same rows.
 
     ``predicate``, the default for a list, becomes a condition that the scan can use; a DataFrame is
-    collected for it. ``count``, the default for a DataFrame, counts the ranges along the sorted distinct
+    collected for it, and fails beyond ``MOST_PREDICATES`` ranges. ``count``, the default for a DataFrame, counts the ranges along the sorted distinct
     keys and semi-joins the rows with the keys found covered, for any number of ranges and any type
     of key. ``broadcast``, for integer keys, sends the coalesced ranges to every task, filed by buckets,
-    and leaves the rows where they are; the caller knows that they fit. Integer keys take bounds of any numeric type.
+    and leaves the rows where they are; it fails if there are more than ``MOST_BROADCAST`` of these. Integer keys take bounds of any numeric type.
     """
     if not isinstance(ranges, DataFrame):
         if method not in (None, "predicate"):
@@ -227,7 +230,9 @@ def filter_by_ranges(
     if whole:
         ranges = _whole_bounds(ranges)
     if method == "predicate":
-        found = [KeyRange(r.lo, r.hi, r.lo_inc, r.hi_inc) for r in ranges.collect()]
+        found = [KeyRange(r.lo, r.hi, r.lo_inc, r.hi_inc) for r in ranges.limit(MOST_PREDICATES + 1).collect()]
+        if len(found) > MOST_PREDICATES:
+            raise ValueError(f"more than {MOST_PREDICATES} ranges are no predicate, count along them instead")
         return rows.filter(in_ranges(key, found))
     if method == "broadcast":
         if not whole:
@@ -273,6 +278,8 @@ def _filter_by_buckets(rows: DataFrame, key: str, ranges: DataFrame) -> DataFram
     shift = "shiftright({}, _level)"
     buckets = F.sequence(F.expr(shift.format("_first")), F.expr(shift.format("_last")))
     filed = cut_lineage(filed.withColumn("_bucket", F.explode(buckets)))
+    if filed.count() > MOST_BROADCAST:
+        raise ValueError(f"more than {MOST_BROADCAST} ranges are not broadcast, count along them instead")
     levels = [r["_level"] for r in filed.select("_level").distinct().collect()]
     if not levels:
         return rows.filter(F.lit(False))

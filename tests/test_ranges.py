@@ -278,3 +278,15 @@ def test_leading_range_on_a_text_part(spark):
     assert found(low="ab", low_inclusive=False) == ["abc", "b"]
     assert found(high="ab") == ["", "a"]
     assert found(high="ab", high_inclusive=True) == ["", "a", "ab"]
+
+
+def test_too_many_ranges_are_neither_collected_nor_broadcast(spark, monkeypatch):
+    rows = spark.range(100).select(F.col("id").alias("key"))
+    many = spark.range(50).selectExpr("3 * id AS lo", "true AS lo_inc", "3 * id + 1 AS hi", "false AS hi_inc")
+    expected = sorted(r.key for r in ranges.filter_by_ranges(rows, "key", many).collect())
+    monkeypatch.setattr(ranges, "MOST_PREDICATES", 40)
+    monkeypatch.setattr(ranges, "MOST_BROADCAST", 40)
+    for method in ("predicate", "broadcast"):
+        with pytest.raises(ValueError, match="count along"):
+            ranges.filter_by_ranges(rows, "key", many, method)
+    assert sorted(r.key for r in ranges.filter_by_ranges(rows, "key", many, "count").collect()) == expected

@@ -91,13 +91,21 @@ def compare_discovered(
     )
 
 
+def discovered_family(catalog: Catalog) -> str:
+    """The one family that a catalog has as a map of its columns."""
+    families = {c.family for c in catalog.value_columns if c.is_dynamic}
+    if len(families) != 1:
+        raise ValueError(f"a catalog to discover columns by has a map of one family, not of {sorted(families)}")
+    return families.pop()
+
+
 def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="cellrecon.plans.compare")
     parser.add_argument("mode", choices=["declared", "discovered"])
     parser.add_argument("--table1", required=True, help="path of the first cell table")
     parser.add_argument("--table2", required=True, help="path of the second cell table")
-    parser.add_argument("--catalog", help="file with the JSON catalog (declared)")
-    parser.add_argument("--family", help="column family to compare (discovered)")
+    parser.add_argument("--catalog", help="file with the JSON catalog (declared; discovered: one with a map of a whole family)")
+    parser.add_argument("--family", help="column family to compare (discovered, if no catalog names it)")
     parser.add_argument("--min-ts", type=int, help="first version time, epoch milliseconds")
     parser.add_argument("--max-ts", type=int, help="version time to stop before")
     parser.add_argument("--timestamp", type=int, help="one exact version time, epoch milliseconds")
@@ -111,8 +119,8 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     arguments = parser.parse_args(argv)
     if arguments.mode == "declared" and not arguments.catalog:
         parser.error("declared needs --catalog")
-    if arguments.mode == "discovered" and not arguments.family:
-        parser.error("discovered needs --family")
+    if arguments.mode == "discovered" and not (arguments.family or arguments.catalog):
+        parser.error("discovered needs --family or --catalog")
     return arguments
 
 
@@ -134,7 +142,8 @@ def main(argv: Sequence[str] | None = None) -> None:
             found.columns.write.mode("overwrite").parquet(f"{arguments.out}/columns")
             found.summary.show()
         else:
-            found = compare_discovered(cells1, cells2, arguments.family, options, arguments.parts)
+            family = arguments.family or discovered_family(parse_catalog(Path(arguments.catalog).read_text()))
+            found = compare_discovered(cells1, cells2, family, options, arguments.parts)
             found.row_counts.show()
             found.cells.write.mode("overwrite").parquet(f"{arguments.out}/cells")
             write_diff_documents(found.documents, arguments.out)

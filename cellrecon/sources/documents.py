@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# The folder of an index (docs) and the column with a document's time (time_stamp).
+
+
 def document_path(index: str) -> str:
     return f"{index.rstrip('/')}/docs"
 

@@ -81,36 +81,35 @@ def best_fit(pieces: DataFrame, capacity: int = 4096) -> DataFrame:
 
     ``pieces`` has a column ``length`` of at least 1 and at most ``capacity``; anything else fails.
     Rows of one length are interchangeable, so repeated rows and ties simply take different slots.
-    No rows give no rows. Columns with names of the plan's own (``_`` first) are not allowed.
+    No rows give no rows. Other columns are kept whatever they are called; a ``sequence_id`` or ``offset`` that
+    the pieces already have is replaced.
     """
-    spark = pieces.sparkSession
-    fixed = cut_lineage(pieces).withColumn("_part", F.spark_partition_id())
-    counts = fixed.groupBy("length", "_part").count()
-    histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("count").alias("n")).collect()}
+    spark, names = pieces.sparkSession, pieces.columns
+    inner = {name: f"c{i}" for i, name in enumerate(names)}
+    length = inner["length"]
+    fixed = cut_lineage(pieces.toDF(*inner.values())).withColumn("part", F.spark_partition_id())
+    counts = fixed.groupBy(length, "part").count()
+    histogram = {r[length]: r["n"] for r in counts.groupBy(length).agg(F.sum("count").alias("n")).collect()}
     bad = [n for n in histogram if n is None or not 1 <= n <= capacity]
     if bad:
         raise ValueError(f"lengths from 1 to {capacity} can be packed, not {bad[:3]}")
-    earlier = Window.partitionBy("length").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    bases = counts.select(
-        "length", "_part", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("_base")
-    )
+    earlier = Window.partitionBy(length).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = counts.select(length, "part", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("base"))
     # In a fixed order, so that a recomputed stage gives each piece its old number.
     named = ("doc_id", "piece", "start", "ids_crc32")
-    order = [c for c in named if c in pieces.columns] or [c for c in pieces.columns if c != "length"] or ["length"]
-    inside = Window.partitionBy("length", "_part").orderBy(*order)
+    order = [inner[c] for c in named if c in inner] or [c for c in inner.values() if c != length] or [length]
+    inside = Window.partitionBy(length, "part").orderBy(*order)
     ranked = (
-        fixed.withColumn("_inside", F.row_number().over(inside) - 1)
-        .join(bases, ["length", "_part"])
-        .withColumn("_rank", F.col("_base") + F.col("_inside"))
+        fixed.withColumn("inside", F.row_number().over(inside) - 1)
+        .join(bases, [length, "part"])
+        .withColumn("rank", F.col("base") + F.col("inside"))
     )
     # At most a few rows for each of `capacity` lengths, so it can always be broadcast.
     plan = spark.createDataFrame(plan_best_fit(histogram, capacity), PLAN).alias("plan")
-    taken = (F.col("_rank") >= F.col("plan.first")) & (F.col("_rank") < F.col("plan.first") + F.col("plan.n"))
-    at = F.col("_rank") - F.col("plan.first")
-    return ranked.join(
-        F.broadcast(plan), (ranked["length"] == F.col("plan.length")) & taken
-    ).select(
-        *[ranked[c] for c in pieces.columns],
+    taken = (F.col("rank") >= F.col("plan.first")) & (F.col("rank") < F.col("plan.first") + F.col("plan.n"))
+    at = F.col("rank") - F.col("plan.first")
+    return ranked.join(F.broadcast(plan), (F.col(length) == F.col("plan.length")) & taken).select(
+        *[F.col(c).alias(name) for name, c in inner.items() if name not in ("sequence_id", "offset")],
         (F.col("plan.sequence") + F.floor(at / F.col("plan.per_sequence"))).cast("bigint").alias("sequence_id"),
         (F.col("plan.offset") + at % F.col("plan.per_sequence") * F.col("plan.length")).alias("offset"),
     )

@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from cellrecon.llm import packing, queries, token_counts, token_files
@@ -238,3 +239,20 @@ def test_layout_of_token_files(spark):
     assert all(c.has_column_index and c.has_offset_index for k, c in columns.items() if not k.startswith("ids"))
     plan = token_files.read_metadata(spark, path)._jdf.queryExecution().executedPlan().toString()
     assert "ids:array" not in plan
+
+
+def test_packing_keeps_columns_whatever_they_are_called(spark):
+    names = ["doc_id", "piece", "start", "length", "ids_crc32", "_part", "_rank", "part", "rank", "c0", "plan", "first", "sequence_id", "offset"]
+    pieces = spark.range(200).select(
+        F.col("id").alias("doc_id"), F.lit(0).alias("piece"), F.lit(0).alias("start"), (F.col("id") % 60 + 1).alias("length"),
+        F.lit(0).alias("ids_crc32"), *[F.lit(n).alias(n) for n in names[5:]],
+    )
+    found = packing.best_fit(pieces.unionByName(pieces.limit(20)), 100)
+    assert sorted(found.columns) == sorted(names) and found.count() == 220
+    rows = found.collect()
+    assert all(r["_rank"] == "_rank" and r["plan"] == "plan" for r in rows)
+    taken = {}
+    for r in rows:
+        taken.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    assert all(sum(n for _, n in s) <= 100 and sorted(s)[0][0] == 0 for s in taken.values())
+    assert packing.best_fit(pieces.limit(0), 100).count() == 0

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cellrecon import parse_catalog, read_table, write_table
-from cellrecon.functions import codecs, records
+from cellrecon.functions import codecs, record_bytes, records
 from cellrecon.functions.codecs import Codec, KeyPart
 from cellrecon.operators import reads, writes
 from cellrecon.session import scratch_path
@@ -231,6 +231,58 @@ def decode_struct(spark, d):
     )
 
 
+READING_SCHEMA = """{
+    "type": "record", "name": "Reading", "fields": [
+        {"name": "k", "type": "int"},
+        {"name": "type", "type": "string"},
+        {"name": "value", "type": ["null", "double"]},
+        {"name": "tags", "type": {"type": "array", "items": "string"}}
+    ]
+}"""
+
+
+def _readings(spark, d) -> DataFrame:
+    record = F.struct(
+        F.get_json_object("props", "$.k").cast("int").alias("k"),
+        F.col("event_type").alias("type"),
+        F.when(F.col("event_type") != "view", F.col("value")).alias("value"),
+        F.when(F.col("event_type") == "click", F.array(F.lit("a"), F.lit("bc"))).otherwise(F.array().cast("array<string>")).alias("tags"),
+    )
+    dt = records.record_data_type(READING_SCHEMA)
+    cell = record_bytes.encode_record_bytes(F.col("record"), dt, READING_SCHEMA)
+    return table(spark, d, "events").select("event_id", record.alias("record")).select("event_id", cell.alias("cell"))
+
+
+_BIG = "format('{:016X}', CAST(CAST(value AS BIT) AS UBIGINT))"
+_LITTLE = " || ".join(f"substr({_BIG}, {k}, 2)" for k in range(15, 0, -2))
+
+
+@query(
+    "encode_record_bytes",
+    f"""SELECT event_id, CASE WHEN 2 * k < 128 THEN format('{{:02X}}', 2 * k)
+            ELSE format('{{:02X}}{{:02X}}', 2 * k % 128 + 128, 2 * k // 128) END
+        || format('{{:02X}}', 2 * length(event_type)) || hex(event_type)
+        || CASE WHEN event_type = 'view' THEN '00' ELSE '02' || {_LITTLE} END
+        || CASE WHEN event_type = 'click' THEN '04026104626300' ELSE '00' END AS cell
+    FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)""",
+)
+def encode_record_cells(spark, d):
+    return _readings(spark, d).select("event_id", F.hex("cell").alias("cell"))
+
+
+@query(
+    "decode_record_bytes",
+    """SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, event_type AS type,
+        CASE WHEN event_type <> 'view' THEN value END AS value,
+        CASE WHEN event_type = 'click' THEN 'a,bc' ELSE '' END AS tags FROM events""",
+)
+def decode_record_cells(spark, d):
+    dt = records.record_data_type(READING_SCHEMA)
+    back = record_bytes.decode_record_bytes(F.col("cell"), dt, READING_SCHEMA)
+    rows = _readings(spark, d).select("event_id", back.alias("r"))
+    return rows.select("event_id", "r.k", "r.type", "r.value", F.concat_ws(",", "r.tags").alias("tags"))
+
+
 MIRROR = Codec(
     encode=lambda value, dt: F.reverse(value.cast("string")).cast("binary"),
     decode=lambda cell, dt: F.reverse(cell.cast("string")).cast(dt),

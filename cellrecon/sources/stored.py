@@ -109,7 +109,7 @@ def read_ranges(
     return filter_by_ranges(_read_files(spark, path, files_in_ranges(spark, path, ranges)), "row_key", ranges, method)
 
 
-def multi_get_stored(spark: SparkSession, path: str, keys: DataFrame | Sequence, pushed: int = 1_000) -> DataFrame:
+def multi_get_stored(spark: SparkSession, path: str, keys: DataFrame | Sequence, pushed: int = 100) -> DataFrame:
     """Cells of the stored table whose key is one of ``keys``, a list or a one-column DataFrame.
 
     The manifest tells which files can have one. Up to ``pushed`` different keys, the bound on what the driver holds, are compared

@@ -49,11 +49,11 @@ def token_pieces(
     names = [f.split()[0] for f in PIECES.split(", ")] + (["ids"] if with_ids else [])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of, end, step = encoder(tokenizer, remembered).ids, np.array([end_id], "<u4").tobytes(), 4 * capacity
+        ids_of_all, end, step = encoder(tokenizer, remembered).ids_of_all, np.array([end_id], "<u4").tobytes(), 4 * capacity
         for batch in chunks(batches):
             row, number, start, parts = [], [], [], []
-            for i, text in enumerate(batch.column("text").to_pylist()):
-                coded = ids_of(text) + end
+            for i, ids in enumerate(ids_of_all(batch.column("text").to_pylist())):
+                coded = ids + end
                 for k, at in enumerate(range(0, len(coded), step)):
                     row.append(i)
                     number.append(k)

@@ -66,9 +66,9 @@ def write_token_files(
     )
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of, end = encoder(tokenizer).ids, np.array([end_id], "<u4").tobytes()
+        ids_of_all, end = encoder(tokenizer).ids_of_all, np.array([end_id], "<u4").tobytes()
         for batch in chunks(batches):
-            coded = [ids_of(t) + end for t in batch.column("text").to_pylist()]
+            coded = [ids + end for ids in ids_of_all(batch.column("text").to_pylist())]
             counts = np.array([len(x) // 4 for x in coded], np.int64)
             offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
             values = pa.array(np.frombuffer(b"".join(coded), "<u4").astype(np.int32))

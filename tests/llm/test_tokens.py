@@ -15,7 +15,7 @@ from tokenizers import Tokenizer
 
 from cellrecon.llm import packing, queries, token_counts, token_files
 from cellrecon.llm.tables import table
-from cellrecon.llm.tokens import encoder, tokenizer_path
+from cellrecon.llm.tokens import Encoder, encoder, tokenizer_path
 from cellrecon.session import scratch_path
 from tests.llm.helpers import AWKWARD, DOCS, docs_of
 
@@ -56,6 +56,52 @@ def test_any_text(text):
         assert np.frombuffer(encoder(path).ids(text), "<u4").tolist() == direct(path, text)
 
 
+_PLAIN = st.sampled_from(list("abSTdlrevmßÿÀéþÞ''.,!|09~ \n\t\r\x0b\x0c"))
+
+
+FORGETFUL = {p: Encoder(p, 50) for p in (WORDS, BYTES)}
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(_PLAIN, max_size=40))
+def test_any_plain_text(text):
+    for path, made in FORGETFUL.items():
+        for _ in range(3):
+            assert np.frombuffer(made.ids(text), "<u4").tolist() == direct(path, text)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(_PLAIN, max_size=40) | st.text(_ALPHABET, max_size=20) | st.sampled_from([t or "" for t in AWKWARD[:-2]])))
+def test_texts_together(texts):
+    for path, made in FORGETFUL.items():
+        assert [np.frombuffer(x, "<u4").tolist() for x in made.ids_of_all(texts)] == [direct(path, t) for t in texts]
+
+
+def test_a_word_of_many_texts_is_looked_up_once():
+    made, asked = Encoder(WORDS), []
+    made._model.make = lambda part, make=made._model.make: (asked.append(part), make(part))[1]
+    texts = ["Pebble, pebble", "", " PEBBLE.", "x" * 3_000_000, "stone " * 9000]
+    assert [np.frombuffer(x, "<u4").tolist() for x in made.ids_of_all(texts)] == [direct(WORDS, t) for t in texts]
+    assert sorted(p for p in asked if p) == [",", ".", "pebble", "stone", "x" * 3_000_000]
+
+
+def test_capitals_and_signs_are_not_remembered_with_each_word():
+    made, text = Encoder(WORDS), "Pebble pebble, PEBBLE. pebble! (été) Été; ÉTÉ" * 3
+    for _ in range(3):
+        assert np.frombuffer(made.ids(text), "<u4").tolist() == direct(WORDS, text)
+    assert len(made._ids) + len(made._model) <= len(set("pebble été étépebble , . ! ( ) ;".split()))
+
+
+def test_plain_parts_and_byte_characters_do_not_meet():
+    """What stands for the bytes of other letters is a text of its own too."""
+    texts = ["é ã© Ã© 漢 æ¼¢ à", "é", "Ã©", "漢字 é ã©", "ĠÃ¡ Ã", "à ã"]
+    for order in (texts, texts[::-1]):
+        for path in (WORDS, BYTES):
+            made = Encoder(path)
+            for text in order * 3:
+                assert np.frombuffer(made.ids(text), "<u4").tolist() == direct(path, text)
+
+
 def documents(spark):
     return [(r["doc_id"], r["text"]) for r in table(spark, SF_DIR, "documents").collect()]
 

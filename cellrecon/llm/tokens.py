@@ -57,14 +57,22 @@ def tokenizer_path(name: str) -> str:
 
 
 class _Memo(dict):
+    """Keeps a value from the second time its key is asked for: most of what comes once never comes again."""
+
     def __init__(self, make, most: int):
         super().__init__()
         self.make, self.most = make, most
+        # By hash; another key with the same one is merely kept at once.
+        self.asked = bytearray(1 << 22)
 
     def __missing__(self, key):
         value = self.make(key)
         if len(self) < self.most:
-            self[key] = value
+            at = hash(key) & 0x3FFFFF
+            if self.asked[at]:
+                self[key] = value
+            else:
+                self.asked[at] = 1
         return value
 
 

@@ -92,6 +92,15 @@ def test_capitals_and_signs_are_not_remembered_with_each_word():
     assert len(made._ids) + len(made._model) <= len(set("pebble été étépebble , . ! ( ) ;".split()))
 
 
+@pytest.mark.parametrize("path", [WORDS, BYTES])
+def test_words_that_come_once_are_not_remembered(path):
+    made, text = Encoder(path, 3000), " ".join(f"{chr(97 + i // 26)}q{chr(97 + i % 26)}zx" for i in range(600))
+    first = made.ids(text)
+    assert len(made._ids) + len(made._model) < 30
+    assert made.ids(text) == first == np.array(direct(path, text), "<u4").tobytes()
+    assert len(made._ids) + len(made._model) >= 600
+
+
 def test_plain_parts_and_byte_characters_do_not_meet():
     """What stands for the bytes of other letters is a text of its own too."""
     texts = ["é ã© Ã© 漢 æ¼¢ à", "é", "Ã©", "漢字 é ã©", "ĠÃ¡ Ã", "à ã"]

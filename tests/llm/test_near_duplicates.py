@@ -6,6 +6,8 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -179,6 +181,22 @@ def test_contaminated_documents(spark):
     assert sorted(((r["doc_id"], r["item_id"], round(r["similarity"], 9)) for r in found.collect()), key=repr) == brute_contaminated(rows, items)
 
 
+def test_large_row_groups_are_not_read_through_direct_buffers_of_their_size(spark, tmp_path):
+    rng = random.Random(9)
+    texts = [rng.randbytes(50_000).hex() for _ in range(200)]
+    item = " ".join(f"w{i}" for i in range(20))
+    ids = pa.array(range(201), pa.int64())
+    docs = pa.table({"doc_id": ids, "text": [*texts, item], "lang": ["en"] * 201, "source": ["src0"] * 201, "n_chars": ids})
+    pq.write_table(docs, tmp_path / "documents.parquet", write_batch_size=1)
+    pq.write_table(pa.table({"item_id": pa.array([0], pa.int64()), "text": [item]}), tmp_path / "benchmark.parquet")
+    chunk = pq.ParquetFile(tmp_path / "documents.parquet").metadata.row_group(0).column(1).total_compressed_size
+    pool = getattr(getattr(spark._jvm.org.apache.spark.metrics, "DirectPoolMemory$"), "MODULE$")
+    before = pool.getMetricValue(None)
+    found = queries.op9_decontamination(spark, str(tmp_path))
+    assert [tuple(r) for r in found.collect()] == [(200, 0, 0, 20, 1.0)]
+    assert chunk > 15_000_000 > 2 * (pool.getMetricValue(None) - before)
+
+
 def test_no_fingerprint_within_the_radius_is_missed(spark):
     """Any two fingerprints up to the radius apart share a block up to two bits apart."""
 
